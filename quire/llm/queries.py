@@ -10,10 +10,12 @@ from quire.llm.canonical import p4_found, p4_text
 from quire.llm.mixing import p8_counts, p8_shares
 from quire.llm.repeats import p1_found, p1_text
 from quire.llm.residue import p2_found
+from quire.llm.scans import p5_found, p5_text
 from quire.llm.splitting import p3_found, p3_pieces
 from quire.llm.tokens import p7_ids
+from quire.llm.truncation import p6_found, p6_rates
 
-_ALL = [p1_found, p1_text, p2_found, p3_found, p3_pieces, p4_found, p4_text, p7_ids, p8_counts, p8_shares]
+_ALL = [p1_found, p1_text, p2_found, p3_found, p3_pieces, p4_found, p4_text, p5_found, p5_text, p6_found, p6_rates, p7_ids, p8_counts, p8_shares]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
