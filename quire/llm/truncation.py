@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.llm.common import spread, staged, table
+from quire.llm.residue import ERRORS, FILLER_PHRASES, NOTICES, SHORT
 from quire.llm.scans import _PAGE_NUMBER, key_of
 from quire.llm.words import TOKEN, fold, frequent, lexicon, token
 
@@ -156,11 +157,13 @@ def scores(pages: DataFrame, books: DataFrame, responses: DataFrame) -> DataFram
         F.percentile_approx("chars", 0.5, 200).alias("usual_chars"), F.percentile_approx("lines", 0.5, 200).alias("usual_lines"),
         F.percentile_approx("width", 0.5, 200).alias("usual_width"), F.avg((F.col("foot") | (F.col("number") == 1)).cast("double")).alias("foot_share"),
     )
-    known = base.select("extraction_id", "source", "page_type")
+    # a message or filler in place of the page is whole, however it ends
+    message = (F.length("raw_text") <= SHORT) & (F.col("raw_text").rlike(ERRORS) | F.col("raw_text").rlike(NOTICES) | F.col("raw_text").rlike(FILLER_PHRASES))
+    known = base.select("extraction_id", "source", "page_type", message.alias("message"))
     x = marked.join(usual, "book_id").join(known, "extraction_id").join(reason, "extraction_id", "left")
     x = x.join(limit, ["source", "chars"], "left").join(longest, ["book_id", "page_number"], "left")
     x = x.withColumn("at_limit", F.coalesce("at_limit", F.lit(False))).withColumn("reason", F.coalesce("reason", F.lit("none")))
-    x = staged(x.select("extraction_id", "source", "cut", "reason", "at_limit", F.coalesce(F.col("chars") < SIBLING * F.col("longest"), F.lit(False)).alias("shorter"), F.startswith("end", F.lit("broken")).alias("broken"), _features(x).alias("f")), "features")
+    x = staged(x.select("extraction_id", "source", "cut", "reason", "at_limit", F.coalesce(F.col("chars") < SIBLING * F.col("longest"), F.lit(False)).alias("shorter"), "message", F.startswith("end", F.lit("broken")).alias("broken"), _features(x).alias("f")), "features")
     sample = x.join(F.broadcast(fit.select("extraction_id")), "extraction_id", "left_semi").where("not (cut = 0 and at_limit)").select("cut", "f").toPandas()  # at most 2 * FIT_ROWS
     if len(sample) and sample["cut"].nunique() == 2:
         w = train(np.array(sample["f"].tolist()), sample["cut"].to_numpy(float))
@@ -172,10 +175,10 @@ def scores(pages: DataFrame, books: DataFrame, responses: DataFrame) -> DataFram
         for b in batches:
             f = np.asarray(b.column(1).flatten()).reshape(b.num_rows, -1)
             z = weights.value[f].sum(1) + weights.value[-1]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30)))), b.column(2), *b.columns[3:]], ["extraction_id", "score", "source", "reason", "at_limit", "shorter", "broken"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30)))), b.column(2), *b.columns[3:]], ["extraction_id", "score", "source", "reason", "at_limit", "shorter", "message", "broken"])
 
-    out = x.where("cut = 0").select("extraction_id", "f", "source", "reason", "at_limit", "shorter", "broken").mapInArrow(score, "extraction_id bigint, score double, source string, reason string, at_limit boolean, shorter boolean, broken boolean")
-    is_cut = (F.col("reason") == "limit") | F.col("at_limit") | (F.col("score") >= F.when((F.col("reason") == "regular") & ~F.col("shorter"), CUT_AT).otherwise(CUT_AT_REPORTED)) | F.col("broken")
+    out = x.where("cut = 0").select("extraction_id", "f", "source", "reason", "at_limit", "shorter", "message", "broken").mapInArrow(score, "extraction_id bigint, score double, source string, reason string, at_limit boolean, shorter boolean, message boolean, broken boolean")
+    is_cut = (F.col("reason") == "limit") | F.col("at_limit") | (~F.col("message") & (F.col("score") >= F.when((F.col("reason") == "regular") & ~F.col("shorter"), CUT_AT).otherwise(CUT_AT_REPORTED))) | F.col("broken")
     return out.select("extraction_id", "source", "score", "reason", "at_limit", is_cut.alias("is_cut"))
 
 
