@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES: list = []
+from quire.operators import pages
+from quire.sources import tables
+
+_MODULES = [tables, pages]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
