@@ -53,7 +53,7 @@ def lines(c: Column) -> Column:
 
 def full_lines(c: Column) -> Column:
     """Stripped lines that are not blank, in order."""
-    return F.filter(F.transform(lines(c), strip), lambda x: x != "")
+    return F.filter(F.transform(lines(c), lambda x: strip(x)), lambda x: x != "")
 
 
 def count_matches(c: Column, pattern: str) -> Column:

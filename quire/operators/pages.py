@@ -141,7 +141,7 @@ def chapter_start(t: Column, heading: Column) -> Column:
     top = F.slice(full, 1, 5)
     hit = F.exists(top, lambda x: X.is_standalone_heading(x) & ~((F.length(t) > 250) & X.is_header_with_number(x)))
     caps = (F.length(t) < 200) & F.exists(F.slice(full, 1, 3), lambda x: (X.is_keyword(x) & (F.upper(x) == x)) | ((X.strip(x, ".") != "") & F.regexp_replace(x, r"\.+$", "").rlike(X.ROMAN)))
-    agrees = (X.strip(heading) != "") & (X.simple(first) == X.simple(heading)) & (F.length(first) > 3) & (F.get(F.transform(F.split(X.strip(t), "\n"), X.strip), F.lit(1)) == "")
+    agrees = (X.strip(heading) != "") & (X.simple(first) == X.simple(heading)) & (F.length(first) > 3) & (F.get(F.transform(F.split(X.strip(t), "\n"), lambda x: X.strip(x)), F.lit(1)) == "")
     return ~X.is_running_header(first, second) & ~block & (hit | caps | F.coalesce(agrees, F.lit(False)))
 
 
