@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.operators import footnotes, margins, pages
+from quire.operators import chapters, footnotes, maps, margins, pages
 from quire.sources import tables
 
-_MODULES = [tables, pages, margins, footnotes]
+_MODULES = [tables, pages, margins, footnotes, chapters, maps]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
