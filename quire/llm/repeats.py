@@ -157,7 +157,7 @@ def _candidates(pages: DataFrame, repeated: DataFrame, sizes: DataFrame) -> Data
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(part.column(0).to_numpy()[at]),
-                            pa.array(part.column(2).to_numpy(zero_copy_only=False)[at], pa.int64(), from_pandas=True),
+                            part.column(2).take(pa.array(at)),
                             pa.array(part.column(3).to_numpy()[at], pa.int32()),
                             pa.array(lines.line_no[found], pa.int32()),
                             pa.array([lines.key(x) for x in found.tolist()], pa.string()),
