@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.operators import chapters, footnotes, maps, margins, pages
+from quire.operators import chapters, cleanup, footnotes, maps, margins, pages, responses
+from quire.operators import tables as markdown_tables
 from quire.sources import tables
+from quire.streaming import events
 
-_MODULES = [tables, pages, margins, footnotes, chapters, maps]
+_MODULES = [tables, pages, margins, footnotes, chapters, maps, cleanup, markdown_tables, responses, events]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").groupBy("page_type").count()
+    """Assembled books: pages, chapters, words, blank pages and fidelity of each book."""
+    return chapters.q_books(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
