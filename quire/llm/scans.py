@@ -27,7 +27,7 @@ PROBE = 10
 SECTION_PAGES = 5
 
 _PAGE_NUMBER = re.compile(r"[\W_]*(?:(?:p|pp|page|pag|seite|पृष्ठ)[.\s]*)?(?=[\W_]*[0-9lOIoS|ivxclIVXCL])[\s\[\](){}*·•.,:;—–‐‑-]*(?:[0-9lOISo|]{1,5}|[ivxclIVXCL]{1,8})[\s\[\](){}*·•.,:;—–‐‑-]*", re.I)
-_HYPHEN_END = re.compile(r"([^\W\d_](?:[^\W_]|[|!])*)[-‐‑­]\s*$")
+_HYPHEN_END = re.compile(r"(?<![^\W_])([^\W\d_](?:[^\W_]|[|!])*)[-‐‑­]\s*$")
 _FIRST_WORD = re.compile(r"\s*[“\"'(]*([^\W_](?:[^\W_]|[|!])*)")
 _ORDINAL = re.compile(r"\d+(?:st|nd|rd|th|er|re|e|me|ème|ter|te)$")
 _ROMAN = re.compile(r"^[\W_]*[ivxlcIVXLC]{1,8}[\s.\])]+(?=\S)|(?<=\S)[\s.\[(]+[ivxlcIVXLC]{1,8}[\W_]*$")
@@ -80,7 +80,7 @@ class Scanner:
         for i in full:
             plain = fold(lines[i])
             skip, carried = carried, 0
-            last = _HYPHEN_END.search(plain)
+            last = _HYPHEN_END.search(plain) if plain.rstrip()[-1:] in ("-", "‐", "‑", "­") else None
             if last:
                 here = last.group(1)
                 after = fold(lines[i + 1]) if i + 1 < len(lines) else ""

@@ -36,7 +36,7 @@ CONFUSIONS = (
 ).split()
 
 #: A word or compound divided at a line end; a compound within a line.
-BREAK = re.compile(r"[^\W_]+[-‐‑­]\s*\n\s*[^\W_]+")
+BREAK = re.compile(r"(?<![^\W_])[^\W_]+[-‐‑­]\s*\n\s*[^\W_]+")
 COMPOUND = re.compile(r"(?<![\w-])[A-Za-z]{2,20}-[A-Za-z]{2,20}(?![\w-])")
 _SPECIAL = re.compile("[" + LOOKALIKE_FROM + INVISIBLE + "！-～]")
 _FOLD = str.maketrans(dict(zip(LOOKALIKE_FROM, LOOKALIKE_TO, strict=True)) | {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)})
