@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
-from quire.functions.duck import CURRENT, footnote_def, has, rep, strip, title_kind, words
+from quire.functions.duck import CURRENT, footnote_def, has, strip, title_kind, words
+from quire.functions.ordered import with_previous, with_running_sum
 from quire.operators.pages import page_kind
 from quire.sources.tables import latest, table
 
@@ -54,8 +55,7 @@ def boundaries(pages: DataFrame) -> DataFrame:
     full = X.full_lines(X.text("text"))
     edge = pages.select("book_id", "page_number", "kind", F.coalesce(F.element_at(F.when(F.size(full) > 0, full), -1), F.lit("")).alias("last"), F.coalesce(F.get(full, F.lit(0)), F.lit("")).alias("first"))
     edge = edge.where("kind not in ('blank', 'illustration') and page_number is not null")
-    w = Window.partitionBy("book_id").orderBy("page_number")
-    d = edge.withColumns({"prev_page": F.lag("page_number").over(w), "prev_kind": F.lag("kind").over(w), "prev_last": F.lag("last").over(w)})
+    d = with_previous(edge, "book_id", "page_number", {"prev_page": "page_number", "prev_kind": "kind", "prev_last": "last"})
     able = F.col("kind").isin(*MERGEABLE) & F.col("prev_kind").isin(*MERGEABLE, "chapter_start")
     joins = able & _joins(F.col("prev_last"), F.col("first"))
     return d.where("prev_page is not null").select("book_id", "prev_page", F.col("page_number").alias("next_page"), joins.alias("joins"), F.when(joins, _mode(F.col("prev_last"), F.col("first"))).alias("mode"))
@@ -63,8 +63,8 @@ def boundaries(pages: DataFrame) -> DataFrame:
 
 def grouped_strict(pages: DataFrame) -> DataFrame:
     """Chapter number of each page by a running count of chapter starts (all titles distinct)."""
-    w = Window.partitionBy("book_id").orderBy("page_number")
-    return pages.select("book_id", "page_number", "kind", F.sum((F.col("kind") == "chapter_start").cast("int")).over(w).alias("chapter"))
+    d = pages.select("book_id", "page_number", "kind", (F.col("kind") == "chapter_start").cast("int").alias("start"))
+    return with_running_sum(d, "book_id", "page_number", "start", "chapter").drop("start")
 
 
 _SIMPLE, _BLANKS = re.compile(r"[^a-z0-9\s#]"), re.compile(r"\s+")
@@ -79,29 +79,32 @@ def grouped(pages: DataFrame) -> DataFrame:
 
     A chapter start whose title equals or overlaps the title it stands under is
     a running header and stays in the chapter; that depends on the title so far
-    and can't be a window.  Only number, kind and heading of the pages enter the
-    fold, about a hundred bytes a page, never their texts.
+    and can't be a window.  Only the headings of chapter starts enter the fold;
+    the pages find their chapter by an equi-join over the chapters' ranges.
     """
     full = X.full_lines(X.text("text"))
     said = X.strip(X.text("chapter_heading"))
-    lean = pages.where("page_number is not null").select(
-        "book_id", "page_number", "kind", F.when(F.col("kind") == "chapter_start", F.when(said != "", said).otherwise(F.substring(F.coalesce(F.get(full, F.lit(0)), F.lit("")), 1, 80))).alias("heading")
-    )
+    numbered = pages.where("page_number is not null and book_id is not null")
+    starts = numbered.where("kind = 'chapter_start'").select("book_id", "page_number", F.when(said != "", said).otherwise(F.substring(F.coalesce(F.get(full, F.lit(0)), F.lit("")), 1, 80)).alias("heading"))
 
     def fold(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("page_number")
-        number, title, rows = 0, "Front Matter", []
-        for page, kind, heading in zip(g["page_number"], g["kind"], g["heading"], strict=True):
-            if kind == "chapter_start":
-                new, old = _key(heading or ""), _key(title)
-                if not (new and old and (new == old or new in old or old in new)):
-                    number, title = number + 1, heading or ""
-            rows.append((page, number, title))
-        out = pd.DataFrame(rows, columns=["page_number", "chapter", "title"])
-        out.insert(0, "book_id", g["book_id"].iloc[0])
+        title, rows = "Front Matter", []
+        for page, heading in zip(g["page_number"], g["heading"], strict=True):
+            new, old = _key(heading or ""), _key(title)
+            if not (new and old and (new == old or new in old or old in new)):
+                title = heading or ""
+                rows.append((g["book_id"].iloc[0], page, len(rows) + 1, title))
+        out = pd.DataFrame(rows, columns=["book_id", "first", "chapter", "title"])
+        out["next"] = out["first"].shift(-1).astype("Int32")
         return out
 
-    return lean.where("book_id is not null").groupBy("book_id").applyInPandas(fold, "book_id string, page_number int, chapter int, title string")
+    chapters = starts.groupBy("book_id").applyInPandas(fold, "book_id string, first int, chapter int, title string, next int")
+    # a chapter's pages are a range of numbers; the last one ends with the book
+    last = numbered.groupBy("book_id").agg(F.max("page_number").alias("last"))
+    ranges = chapters.join(last, "book_id").select("book_id", "chapter", "title", F.explode(F.sequence("first", F.coalesce(F.col("next") - 1, "last"))).alias("page_number"))
+    out = numbered.select("book_id", "page_number").join(ranges, ["book_id", "page_number"], "left")
+    return out.select("book_id", "page_number", F.coalesce("chapter", F.lit(0)).alias("chapter"), F.coalesce("title", F.lit("Front Matter")).alias("title"))
 
 
 def catchword_dropped(left: Column, right: Column) -> Column:

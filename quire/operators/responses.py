@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
+from quire.functions.ordered import with_running_sum
 from quire.sources.tables import table
 
 
@@ -45,11 +46,10 @@ def last_attempts(responses: DataFrame) -> DataFrame:
 def running_tokens(responses: DataFrame) -> DataFrame:
     """Running output tokens of each book in order of pages.
 
-    Pre-aggregated by page, so the window holds one row a page of a book.
+    Pre-aggregated by page; the running sum runs over cells of pages.
     """
     per = once(responses).where("book_id is not null").groupBy("book_id", "page_number").agg(F.sum(F.coalesce("output_tokens", F.lit(0))).alias("tokens"))
-    w = Window.partitionBy("book_id").orderBy(F.col("page_number").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    return per.withColumn("running", F.sum("tokens").over(w))
+    return with_running_sum(per, "book_id", "page_number", "tokens", "running")
 
 
 def clean_events(events: DataFrame) -> DataFrame:
