@@ -90,12 +90,12 @@ def test_remapped_ids(spark):
 
 
 def test_margin_threshold_and_removal(spark):
-    rows = [("b", n, n, f"{n} THE ANNALS\nBody {n} is here and runs on.\nmore text {n * 7919}\n{n}") for n in range(1, 41)]
+    rows = [("b", n, n, f"{n} THE ANNALS\nBody {chr(96 + n % 26 + 1) * (n % 7 + 3)} runs {chr(97 + n // 26) * 4} on.\nmore {chr(97 + n % 25) * (n % 9 + 2)} text\n{n}") for n in range(1, 41)]
     p = spark.createDataFrame(rows, "book_id string, page_number int, extraction_id int, text string")
     m = margins.detect(p)
     assert ("top", "# the annals") in {(r["edge"], r["key"]) for r in m.collect()}
     out = margins.strip_margins(p, m).orderBy("page_number").first()["text"]
-    assert out.split("\n")[0] == "" and out.split("\n")[-1] == "" and "Body 1" in out and out.count("\n") == 3
+    assert out.split("\n")[0] == "" and out.split("\n")[-1] == "" and "Body" in out and out.count("\n") == 3
 
 
 def test_segments(spark):
