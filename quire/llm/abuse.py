@@ -133,6 +133,8 @@ class Lexicon:
             if form in self.kind:
                 return form
         form = _RUNS.sub(r"\1", low)
+        if not form.isascii() and not any("a" <= c <= "z" for c in form) and not doubtful:
+            return None  # edits of single marks change words of these scripts
         if len(form) < 5 and not doubtful or len(form) < 4:
             return None
         near = search(self.trie, form, {}, 0, 1)
@@ -175,7 +177,7 @@ def sentence_score(sentence: str, lexicon: Lexicon) -> tuple[float, str]:
 _YOU, _EXPLICIT = set(YOU), set(EXPLICIT) | _STRONG
 #: Words without which none of the phrases above can stand.
 TRIGGERS = _YOU | set(
-    "race beasts burn kill wipe driven river hang threshold breed honest lot safe alive dung lie steal tous pende alle aufgehängt gehören verpiss ersauf fresse schlag schlage "
+    "race beasts burn kill wipe driven hang threshold breed honest lot safe alive dung lie steal tous pende alle aufgehängt gehören verpiss ersauf fresse schlag schlage "
     "निकाल लोगों चुप गला ज़बान काट कुल மூடு கொன்று rot choke choked spit sight gueule casse foutre espèce".split()
 )
 _ONE = re.compile(r"(?:[^\W\d_][.\-_*·]){2,}[^\W\d_]")
@@ -205,7 +207,7 @@ class Judge:
             hit = seen(w)
             if self.look(w) if hit is None else hit:
                 return True
-            single += len(w) == 1
+            single += len(w) == 1 and w.isalpha()
         return single >= 3
 
     def score(self, text: str | None) -> tuple[float, str]:
