@@ -7,6 +7,7 @@ error is, by frequency, and (in the page) by context.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -29,15 +30,17 @@ FREQUENT = 1e-5
 MIN_COUNT, VOCABULARY = 4, 1e-6
 #: A misreading is seen once, or at most in this part of the word's places.
 MISREAD_RATE = 0.01
+#: What one reading error costs a candidate, in logarithms of its frequency.
+SWAP_COST = 3.0
 #: Usual reading errors, "meant>seen".
 CONFUSIONS = (
     "e>c e>é t>f a>ci n>ri n>u d>cl u>ii m>rn h>li h>b v>y b>h in>m w>vv r>í rn>m li>h r>k e>f l>i h>ii "
     "i>1 i>! i>| l>1 l>| l>! o>0 s>5 g>9 a>4"
 ).split()
 
-#: A word or compound divided at a line end; a compound within a line.
-BREAK = re.compile(r"(?<![^\W_])[^\W_]+[-‐‑­]\s*\n\s*[^\W_]+")
+#: A compound within a line; hyphens at line ends.
 COMPOUND = re.compile(r"(?<![\w-])[A-Za-z]{2,20}-[A-Za-z]{2,20}(?![\w-])")
+HYPHENS = "-‐‑­"
 _SPECIAL = re.compile("[" + LOOKALIKE_FROM + INVISIBLE + "！-～]")
 _FOLD = str.maketrans(dict(zip(LOOKALIKE_FROM, LOOKALIKE_TO, strict=True)) | {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)})
 #: Digits read as letters: a number in which a letter stands for a digit.
@@ -64,18 +67,33 @@ def swaps() -> dict[str, list[tuple[str, str]]]:
     return out
 
 
+def undivided(text: str) -> str:
+    """Without the parts of words divided at line ends, which are no words."""
+    for mark in HYPHENS:
+        if (end := mark + "\n") in text:
+            first, *rest = text.split(end)
+            parts = [first.rsplit(None, 1)[0] if len(first.split(None, 1)) > 1 else ""]
+            for i, p in enumerate(rest):
+                words = p.split(None, 1)
+                p = words[1] if len(words) > 1 else ""
+                parts.append((p.rsplit(None, 1)[0] if len(p.split(None, 1)) > 1 else "") if i < len(rest) - 1 else p)
+            text = " ".join(parts)
+    return text
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
-    """``token, n`` over all texts of the one column; tokens hold a letter."""
+    """``token, n`` over all texts of the one column; tokens hold a letter.
+
+    Runs without white space are counted first; each distinct one is folded and
+    cut into tokens once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 for t in batch.column(0).slice(lo, 500).to_pylist():
-                    t = BREAK.sub(" ", fold(t))  # parts of divided words are no words
-                    total.update(TOKEN.findall(t))
-                    if "-" in t:
-                        total.update(COMPOUND.findall(t))
+                    total.update(undivided(t).split())
             if len(total) > 300_000:  # bounded memory: what is counted so far goes on
                 yield _counted(total)
                 total = Counter()
@@ -87,9 +105,11 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 def _counted(total: Counter) -> pa.RecordBatch:
     low: Counter = Counter()
-    for w, n in total.items():
-        if len(w) <= MAX_CHARS and not w.isdigit() and (w := token(w)):
-            low[w] += n
+    for raw, n in total.items():
+        plain = fold(raw)
+        for w in TOKEN.findall(plain) + (COMPOUND.findall(plain) if "-" in plain else []):
+            if len(w) <= MAX_CHARS and not w.isdigit() and (w := token(w)):
+                low[w] += n
     return pa.RecordBatch.from_arrays([pa.array(list(low), pa.string()), pa.array(list(low.values()), pa.int64())], ["token", "n"])
 
 
@@ -119,14 +139,15 @@ def corrections(counts: DataFrame) -> DataFrame:
             best = None
             for cand, (edits, used) in search(trie, w, pairs, 1 if short else 2, 0 if short else 1).items():
                 m = freq[cand]
-                if cand != w and used and n <= 1 + MISREAD_RATE * m and (best is None or (edits, used, -m, cand) < best[0]):
-                    best = ((edits, used, -m, cand), cand, used, m)
+                score = math.log(m) - SWAP_COST * used
+                if cand != w and used and not edits and n <= 1 + MISREAD_RATE * m and (best is None or (score, cand) > best[:2]):
+                    best = (score, cand, used, m)
             if best:
-                rows.append((w, best[1], best[2], best[3]))
-        return pd.DataFrame(rows, columns=["token", "word", "swaps", "word_n"])
+                rows.append((w, best[1], best[2], best[3], best[0]))
+        return pd.DataFrame(rows, columns=["token", "word", "swaps", "word_n", "score"])
 
-    out = d.groupBy("shard", "slice").cogroup(v.groupBy("shard", "slice")).applyInPandas(run, "token string, word string, swaps int, word_n bigint")
-    best = out.groupBy("token").agg(F.min_by(F.struct("word", "swaps", "word_n"), F.struct("swaps", -F.col("word_n"), "word")).alias("b"))
+    out = d.groupBy("shard", "slice").cogroup(v.groupBy("shard", "slice")).applyInPandas(run, "token string, word string, swaps int, word_n bigint, score double")
+    best = out.groupBy("token").agg(F.max_by(F.struct("word", "swaps", "word_n"), F.struct("score", "word")).alias("b"))
     return best.select("token", "b.*")
 
 
