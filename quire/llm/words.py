@@ -1,8 +1,9 @@
 """Counts of the corpus' words, and the repair of misread ones.
 
-A Levenshtein automaton of each doubtful word is intersected with a trie of the
-vocabulary, which gives all candidates; they are ranked by how usual the reading
-error is, by frequency, and (in the page) by context.
+An automaton of each doubtful word and its reading errors is intersected with a
+trie of the vocabulary, which gives all candidates; they are ranked by how usual
+the reading error is, and by frequency.  Plain edits make no candidates: a word
+one edit from a frequent one is nearly always another word or a cut one.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ SWAP_COST = 3.0
 #: Usual reading errors, "meant>seen".
 CONFUSIONS = (
     "e>c e>é t>f a>ci n>ri n>u d>cl u>ii m>rn h>li h>b v>y b>h in>m w>vv r>í rn>m li>h r>k e>f l>i h>ii "
-    "i>1 i>! i>| l>1 l>| l>! o>0 s>5 g>9 a>4"
+    "i>1 i>! i>| l>1 l>| l>! o>0 s>5 g>9 a>4 ti>d"
 ).split()
 
 #: A compound within a line; hyphens at line ends.
@@ -135,12 +136,11 @@ def corrections(counts: DataFrame) -> DataFrame:
         freq = dict(zip(right["token"], right["n"].astype(int), strict=True))
         trie, rows = build(freq), []
         for w, n in zip(left["token"], left["n"].astype(int), strict=True):
-            short = len(w) < 5
             best = None
-            for cand, (edits, used) in search(trie, w, pairs, 1 if short else 2, 0 if short else 1).items():
+            for cand, (_, used) in search(trie, w, pairs, 1 if len(w) < 5 else 2, 0).items():
                 m = freq[cand]
                 score = math.log(m) - SWAP_COST * used
-                if cand != w and used and not edits and n <= 1 + MISREAD_RATE * m and (best is None or (score, cand) > best[:2]):
+                if cand != w and used and n <= 1 + MISREAD_RATE * m and (best is None or (score, cand) > best[:2]):
                     best = (score, cand, used, m)
             if best:
                 rows.append((w, best[1], best[2], best[3], best[0]))
