@@ -21,8 +21,8 @@ from quire.llm.words import NUMBER, TOKEN, fold, frequent, lexicon, token
 
 #: Lines at either edge of a page among which furniture stands.
 EDGE = 4
-#: Letters by which a misread title is looked up, from its start and from its end.
-PROBE = 10
+#: Most misread letters of a title of less than 10, 16, 32 and of more letters.
+EDITS = "case when length(title) < 10 then 1 when length(title) < 16 then 2 when length(title) < 32 then 3 else 4 end"
 #: Pages on which an untabled section title stands at least.
 SECTION_PAGES = 5
 
@@ -170,6 +170,30 @@ def section_titles(marks: DataFrame, pages: DataFrame, books: DataFrame) -> Data
     return own.select("book_id", F.col("value").alias("title"))
 
 
+def near_titles(keys: DataFrame, title: DataFrame) -> DataFrame:
+    """``book_id, key`` of the lines that a title of their book is within EDITS of; all of them.
+
+    Titles of less than 16 letters are compared with every line of a like length.
+    For the others a line is cut into more pieces than letters may be misread
+    (5 from 28 letters on, else 4), so one piece stands unchanged in the title.
+    """
+    bound = F.expr(f"levenshtein(key, title, {EDITS}) >= 0")
+    short = title.where("length(title) < 16").withColumn("probe", F.expr(f"explode(transform(sequence(length(title) - {EDITS}, length(title) + {EDITS}), n -> string(n)))"))
+    size = lambda n: f"({n}) div if({n} < 28, 4, 5)"
+    spans = f"array_distinct(transform(sequence(length(title) - {EDITS}, length(title) + {EDITS}), n -> int({size('n')})))"
+    parts = f"flatten(transform({spans}, m -> transform(sequence(1, length(title) - m + 1), i -> substring(title, i, m))))"
+    long = title.where("length(title) >= 16").withColumn("probe", F.expr(f"explode(array_distinct({parts}))"))
+    n = "if(length(key) < 28, 4, 5)"
+    pieces = f"transform(sequence(0, {n} - 1), i -> substring(key, int(i * length(key) div {n}) + 1, int({size('length(key)')})))"
+    # lines that no title is like in length go no further
+    like = title.select("book_id", F.expr(f"explode(sequence(length(title) - {EDITS}, length(title) + {EDITS}))").alias("n")).distinct()
+    keys = keys.withColumn("n", F.length("key")).join(like, ["book_id", "n"], "left_semi").drop("n")
+    by_length = keys.where("length(key) <= 17").withColumn("probe", F.expr("string(length(key))"))
+    by_piece = keys.where("length(key) >= 13").withColumn("probe", F.expr(f"explode(array_distinct({pieces}))"))
+    close = [a.join(b, ["book_id", "probe"]).where(bound).select("book_id", "key") for a, b in ((by_length, short), (by_piece, long))]
+    return close[0].unionByName(close[1]).distinct()
+
+
 def _running(marks: DataFrame, pages: DataFrame, title: DataFrame) -> DataFrame:
     """Edge lines that repeat a title of their book, exactly or but for misread characters."""
     bare = F.regexp_replace(F.trim(F.coalesce("chapter_heading", F.lit(""))), r"(?i)^\s*(?:chapter|chap|book|part|section)\b\.?\s*[ivxlcdm\d]+\s*[.:—–-]*\s*", "")
@@ -177,12 +201,7 @@ def _running(marks: DataFrame, pages: DataFrame, title: DataFrame) -> DataFrame:
     edge = marks.where("what = 'edge'").join(of.dropDuplicates(["extraction_id"]), "extraction_id").where("value <> heading")
     keys = staged(edge.groupBy("book_id", F.col("value").alias("key")).count(), "edge")
     exact = keys.join(title, (keys.book_id == title.book_id) & (keys.key == title.title), "left_semi").select("book_id", "key")
-    probe = lambda d, c: d.withColumn("probe", F.explode(F.array_distinct(F.array(F.concat(F.lit("<"), F.substring(c, 1, PROBE)), F.concat(F.lit(">"), F.expr(f"right({c}, {PROBE})"))))))
-    a = probe(keys.where("length(key) >= 10").select("book_id", "key"), "key")
-    b = probe(title.where("length(title) >= 10"), "title")
-    near = F.abs(F.length("key") - F.length("title")) <= 3
-    close = a.join(b, ["book_id", "probe"]).where(near & F.expr("levenshtein(key, title, case when length(title) < 16 then 2 when length(title) < 32 then 3 else 4 end) >= 0"))
-    hit = exact.unionByName(close.select("book_id", "key")).distinct()
+    hit = exact.unionByName(near_titles(keys.select("book_id", "key"), title)).distinct()
     return edge.join(hit.withColumnRenamed("key", "value"), ["book_id", "value"]).select("extraction_id", "line_no")
 
 

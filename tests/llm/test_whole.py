@@ -1,6 +1,8 @@
 """Cases that an earlier state of the operators lost."""
 
-from quire.llm import words
+import random
+
+from quire.llm import scans, words
 
 
 def fixes(spark, counts):
@@ -15,3 +17,33 @@ def test_ti_read_as_d(spark):
 
 def test_plain_edits_make_no_fix(spark):
     assert fixes(spark, {"reason": 2, "season": 1711, "throug": 1, "through": 5849}) == {}
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_misread_titles_equal_brute_force(spark):
+    r = random.Random(3)
+    titles = [(b, "".join(r.choice("abcdefghij") for _ in range(n))) for b in "xy" for n in (4, 7, 9, 10, 12, 15, 16, 19, 24, 31, 32, 40, 70)]
+    lines = [("x", "jhekerfandtheunpubiishedseal"), ("x", "thennalsofvedtra"), ("y", "thennalsofvedtra")]
+    titles += [("x", "jhekerandtheunpublishedseal"), ("x", "theannalsofvedtora")]
+    for b, t in titles:
+        for _ in range(12):
+            t2 = list(t)
+            for _ in range(r.randint(1, 5)):
+                i = r.randrange(len(t2))
+                t2[i : i + 1] = r.choice(([], ["z"], ["z", t2[i]]))
+                if not t2:
+                    t2 = ["z"]
+            lines.append((b, "".join(t2)))
+    k = lambda t: 1 if len(t) < 10 else 2 if len(t) < 16 else 3 if len(t) < 32 else 4
+    want = {(b, x) for b, x in lines if any(b == c and distance(x, t) <= k(t) for c, t in titles)}
+    got = scans.near_titles(spark.createDataFrame(lines, "book_id string, key string"), spark.createDataFrame(titles, "book_id string, title string"))
+    assert {tuple(x) for x in got.collect()} == want and ("x", "thennalsofvedtra") in want and ("y", "thennalsofvedtra") not in want
