@@ -212,7 +212,7 @@ def noise(pages: DataFrame, books: DataFrame, chapters: DataFrame) -> tuple[Data
     Null and empty texts have no lines; pages of unknown books have no titles,
     so no running heads; repeated rows count once; empty tables give nothing.
     """
-    counts, wrong = lexicon(pages.select("text"))
+    counts, wrong = lexicon(pages.select("text", "book_id", "page_number"))
     marks = staged(_marks(pages, frequent(counts, wrong)), "marks")
     looked = marks.where("what = 'word'").join(wrong.withColumnRenamed("token", "value"), "value")
     # of a divided word the line with the misread character counts

@@ -140,7 +140,7 @@ def scores(pages: DataFrame, books: DataFrame, responses: DataFrame) -> DataFram
     base = base.dropDuplicates(["extraction_id"]).join(src, "book_id", "left")
     reason = reports(responses)
     limit = staged(limits(base), "limits")
-    counts, wrong = lexicon(pages.select("raw_text"))
+    counts, wrong = lexicon(pages.select("raw_text", "book_id", "page_number"))
     fit = base.join(reason.where("reason = 'regular'"), "extraction_id", "left_semi").where("page_type not in ('blank', 'error')")
     fit = fit.select("extraction_id").orderBy(F.xxhash64("extraction_id"), "extraction_id").limit(FIT_ROWS).select("extraction_id", F.abs(F.xxhash64("extraction_id", F.lit(5)) % 1_000_003).alias("h"))
     rows = spread(base.join(F.broadcast(fit), "extraction_id", "left").select("extraction_id", "book_id", "page_number", "raw_text", "h"))

@@ -12,13 +12,15 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import INVISIBLE, LOOKALIKE_FROM, LOOKALIKE_TO, expand, spread, staged
+from quire.llm.common import INVISIBLE, LOOKALIKE_FROM, LOOKALIKE_TO, expand, staged
 from quire.llm.trie import build, search
 
 #: A word of Latin script as it may come from a scan, at most so many characters.
@@ -27,8 +29,8 @@ TOKEN, MAX_CHARS = re.compile(r"[A-Za-z0-9À-ÖØ-öø-ɏḀ-ỿ|!]+"), 40
 SHARD, SLICE = 100_000, 20_000
 #: Words with at least this share of all words are frequent: at most 1 / share of them.
 FREQUENT = 1e-5
-#: A vocabulary word is seen at least so often, and makes at least this share of all words.
-MIN_COUNT, VOCABULARY = 4, 1e-6
+#: A vocabulary word is seen at least so often, whatever the size of the corpus.
+MIN_COUNT = 4
 #: A misreading is seen once, or at most in this part of the word's places.
 MISREAD_RATE = 0.01
 #: What one reading error costs a candidate, in logarithms of its frequency.
@@ -83,34 +85,72 @@ def undivided(text: str) -> str:
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """``token, n`` over all texts of the one column; tokens hold a letter.
-
-    Runs without white space are counted first; each distinct one is folded and
-    cut into tokens once.
+    """``token, n`` over the distinct texts of the first column; tokens hold a letter.
+
+    Further columns, if any, name the page of a text: of the texts of one page a
+    token counts as often as in the one that has it most, so neither copies nor
+    repeated extractions make a misreading frequent.  Texts whose page has a null
+    stand for themselves; a text that stands on several pages goes with one of
+    them.  Runs without white space are counted first; each distinct one is folded
+    and cut into tokens once.
     """
+    text, *page = texts.columns
+    own = F.xxhash64(text)
+    unit = F.when(reduce(or_, map(F.isnull, page)), own).otherwise(F.xxhash64(*page)) if page else own
+    # the texts of a page come together, equal texts on one of their pages only
+    src = texts.where(F.col(text) != "").select(text, unit.alias("unit"))
+    rows = src.repartition("unit")
+    if page:
+        home = src.groupBy(own.alias("own")).agg(F.min("unit").alias("unit")).groupBy("unit").agg(F.collect_set("own").alias("homes"))  # the extractions of a page
+        rows = rows.join(home, "unit").where(F.array_contains("homes", own)).select(text, "unit")
+    rows = rows.sortWithinPartitions("unit")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
+        now, held = None, []
+        pages: Counter = Counter()  # tokens of pages with several texts
+
+        def close() -> None:
+            if len(held) == 1:
+                total.update(undivided(held[0]).split())
+            elif held:
+                most: Counter = Counter()
+                for t in held:
+                    most |= _tokens(Counter(undivided(t).split()))
+                pages.update(most)
+
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
-                for t in batch.column(0).slice(lo, 500).to_pylist():
-                    total.update(undivided(t).split())
-            if len(total) > 300_000:  # bounded memory: what is counted so far goes on
-                yield _counted(total)
-                total = Counter()
-        yield _counted(total)
-
-    rows = spread(texts.where(F.col(texts.columns[0]) != "")).mapInArrow(run, "token string, n bigint")
-    return rows.groupBy("token").agg(F.sum("n").alias("n"))
-
-
-def _counted(total: Counter) -> pa.RecordBatch:
+                part = batch.slice(lo, 500)
+                for t, u in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    if u != now:
+                        close()
+                        now, held = u, []
+                    if t not in held:
+                        held.append(t)
+            if len(total) + len(pages) > 300_000:  # bounded memory: what is counted so far goes on
+                yield _counted(total, pages)
+                total.clear()
+                pages.clear()
+        close()
+        yield _counted(total, pages)
+
+    return rows.mapInArrow(run, "token string, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def _tokens(runs: Counter) -> Counter:
     low: Counter = Counter()
-    for raw, n in total.items():
+    for raw, n in runs.items():
         plain = fold(raw)
         for w in TOKEN.findall(plain) + (COMPOUND.findall(plain) if "-" in plain else []):
             if len(w) <= MAX_CHARS and not w.isdigit() and (w := token(w)):
                 low[w] += n
+    return low
+
+
+def _counted(total: Counter, pages: Counter) -> pa.RecordBatch:
+    low = _tokens(total)
+    low.update(pages)
     return pa.RecordBatch.from_arrays([pa.array(list(low), pa.string()), pa.array(list(low.values()), pa.int64())], ["token", "n"])
 
 
@@ -122,8 +162,7 @@ def corrections(counts: DataFrame) -> DataFrame:
     whatever the size of either, and no task holds more than one of each.
     """
     spark = counts.sparkSession
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    vocabulary = counts.where(F.col("n") >= max(MIN_COUNT, total * VOCABULARY)).where(F.col("token").rlike(r"^[^0-9|!-]{3,}$"))
+    vocabulary = counts.where(F.col("n") >= MIN_COUNT).where(F.col("token").rlike(r"^[^0-9|!-]{3,}$"))
     doubtful = counts.where(F.col("token").rlike(r"^.*\p{L}.*$")).where("length(token) >= 3 and token not like '%-%'")
     shards = max(1, -(-vocabulary.count() // SHARD))
     slices = max(min(8, spark.sparkContext.defaultParallelism), -(-doubtful.count() // SLICE))
@@ -159,6 +198,6 @@ def frequent(counts: DataFrame, fixes: DataFrame) -> list[str]:
 
 
 def lexicon(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Counts and corrections of a column of texts, both written out once."""
+    """Counts and corrections of texts (see ``word_counts``), both written out once."""
     counts = staged(word_counts(texts), "words")
     return counts, staged(corrections(counts), "fixes")

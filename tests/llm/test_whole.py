@@ -47,3 +47,22 @@ def test_misread_titles_equal_brute_force(spark):
     want = {(b, x) for b, x in lines if any(b == c and distance(x, t) <= k(t) for c, t in titles)}
     got = scans.near_titles(spark.createDataFrame(lines, "book_id string, key string"), spark.createDataFrame(titles, "book_id string, title string"))
     assert {tuple(x) for x in got.collect()} == want and ("x", "thennalsofvedtra") in want and ("y", "thennalsofvedtra") not in want
+
+
+def test_copies_and_extractions_count_once(spark):
+    a, b = "the gar|ands of it", "the gar|ands of  it"
+    rows = [(a, "x", 1), (a, "x", 1), (b, "x", 1), ("copied", "x", 9), ("copied", "y", 7), ("garlands garlands", "x", 2), ("garlands", "x", 2), ("one", None, 1), ("one two", None, 1), (None, "x", 3), ("", "x", 4)]
+    n = {r.token: r.n for r in words.word_counts(spark.createDataFrame(rows, "text string, book_id string, page_number int")).collect()}
+    assert n == {"the": 1, "gar|ands": 1, "of": 1, "it": 1, "garlands": 2, "copied": 1, "one": 2, "two": 1}
+    alone = {r.token: r.n for r in words.word_counts(spark.createDataFrame([(a,), (a,), (b,)], "text string")).collect()}
+    assert alone["gar|ands"] == 2
+
+
+def test_misreading_of_copies_is_repaired(spark):
+    rows = [(f"garlands number {i}", "x", i) for i in range(70)] + [("the gar|ands", b, 100) for b in "xyz" for _ in range(9)]
+    _, wrong = words.lexicon(spark.createDataFrame(rows, "text string, book_id string, page_number int"))
+    assert ("gar|ands", "garlands") in {(r.token, r.word) for r in wrong.collect()}
+
+
+def test_rare_words_stay_candidates(spark):
+    assert fixes(spark, {"the": 40_000_000, "velmadu": 12, "velmaclu": 1})["velmaclu"] == "velmadu"
