@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from re import _parser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -175,12 +176,39 @@ def sentence_score(sentence: str, lexicon: Lexicon) -> tuple[float, str]:
 
 
 _YOU, _EXPLICIT = set(YOU), set(EXPLICIT) | _STRONG
-#: Words without which none of the phrases above can stand.
-TRIGGERS = _YOU | set(
-    "race beasts burn kill wipe driven hang threshold breed honest lot safe alive dung lie steal tous pende alle aufgehängt gehören verpiss ersauf fresse schlag schlage "
-    "निकाल लोगों चुप गला ज़बान काट कुल மூடு கொன்று rot choke choked spit sight gueule casse foutre espèce".split()
-)
+_PHRASES = [p for p, _ in THREATS + HATRED]
+
+
+def needed(pattern: re.Pattern) -> set[str]:
+    """Strings without white space of which every match of the pattern holds one."""
+
+    def best(items) -> set[str] | None:
+        found, run = [], ""
+        for op, arg in [*items, (None, None)]:
+            if op is _parser.LITERAL and not chr(arg).isspace() and chr(arg) not in ",'":
+                run += chr(arg).lower()
+                continue
+            if run:
+                found.append({run})
+                run = ""
+            if op is _parser.SUBPATTERN:
+                found.append(best(arg[3]))
+            elif op is _parser.BRANCH:
+                each = [best(x) for x in arg[1]]
+                found.append(set().union(*each) if all(each) else None)
+            elif op in (_parser.MAX_REPEAT, _parser.MIN_REPEAT) and arg[0]:
+                found.append(best(arg[2]))
+        return max((f for f in found if f), key=lambda f: (min(map(len, f)), -len(f)), default=None)
+
+    out = best(_parser.parse(pattern.pattern, pattern.flags))
+    if not out:
+        raise ValueError(f"no literal in {pattern.pattern}")
+    return out
+
+
+_NEEDED = [(needed(p), p) for p in _PHRASES]
 _ONE = re.compile(r"(?:[^\W\d_][.\-_*·]){2,}[^\W\d_]")
+_SINGLE = re.compile(r"(?<![^\W_])[^\W\d_](?![^\W_])")
 
 
 class Judge:
@@ -188,33 +216,38 @@ class Judge:
 
     def __init__(self, usual: list[str]):
         self.lexicon = Lexicon(usual)
-        self.seen: dict[str, bool] = {}
+        self.seen: dict[str, tuple[bool, int, tuple[re.Pattern, ...]]] = {}
 
-    def look(self, word: str) -> bool:
+    def look(self, word: str) -> tuple[bool, int, tuple[re.Pattern, ...]]:
+        """Whether a term or a second person stands there, single letters, and phrases that may."""
         plain = fold(word).replace("’", "'")
         hit = bool(_ONE.search(plain)) or any(
-            self.lexicon.term(t) is not None or t.lower() in TRIGGERS or any(x in TRIGGERS for x in t.lower().split("'")) for t in _TOKEN.findall(plain)
+            self.lexicon.term(t) is not None or t.lower() in _YOU or any(x in _YOU for x in t.lower().split("'")) for t in _TOKEN.findall(plain)
         )
+        low = plain.lower()
         if len(self.seen) > 300_000:
             self.seen.clear()
-        self.seen[word] = hit
-        return hit
+        self.seen[word] = out = (hit, len(_SINGLE.findall(plain)), tuple(p for need, p in _NEEDED if any(x in low for x in need)))
+        return out
 
     def calls(self, text: str) -> bool:
-        words = text.split()
-        seen, single = self.seen.get, 0
-        for w in set(words):
-            hit = seen(w)
-            if self.look(w) if hit is None else hit:
+        """Whether any part of the text may score; a folded text without line ends is meant."""
+        single, phrases = 0, set()
+        for w in text.split():
+            hit, alone, may = self.seen.get(w) or self.look(w)
+            if hit:
                 return True
-            single += len(w) == 1 and w.isalpha()
-        return single >= 3
+            single += alone
+            phrases.update(may)
+        return single >= 3 and bool(_SPACED.search(text)) or any(p.search(text) for p in phrases)
 
     def score(self, text: str | None) -> tuple[float, str]:
         """Score and category of a text's strongest sentence."""
-        if not text or not self.calls(text):
+        if not text:
             return 0.0, ""
         text = fold(text).replace("’", "'").replace("\n", " ").replace("\u00a0", " ")
+        if not self.calls(text):
+            return 0.0, ""
         best = (0.0, "")
         for sentence in _SENTENCE.split(text):
             if self.calls(sentence):

@@ -2,7 +2,9 @@
 
 import random
 
-from quire.llm import scans, words
+import pytest
+
+from quire.llm import abuse, scans, words
 
 
 def fixes(spark, counts):
@@ -66,3 +68,14 @@ def test_misreading_of_copies_is_repaired(spark):
 
 def test_rare_words_stay_candidates(spark):
     assert fixes(spark, {"the": 40_000_000, "velmadu": 12, "velmaclu": 1})["velmaclu"] == "velmadu"
+
+
+@pytest.mark.parametrize("text", ["I will break his neck.", "I shall cut her throat.", "I hope they die.", "Drive them out and the world is cleaner.", "Root out these thieves.", "All Xs are thieves and should be hanged.", "All Xs are knaves, to be burnt.", "मैं उसे मार डालूँगा।"])
+def test_phrases_without_second_person(text):
+    judge = abuse.Judge([])
+    assert judge.calls(text) and judge.score(text)[0] >= 0.8
+
+
+def test_every_phrase_names_what_it_needs():
+    assert all(need and all(x and not any(c.isspace() for c in x) for x in need) for need, _ in abuse._NEEDED)
+    assert abuse.needed(abuse.re.compile("(?:drive|root) (?:out|them out)")) == {"drive", "root"}
