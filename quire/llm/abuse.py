@@ -23,6 +23,8 @@ from quire.llm.words import fold, frequent, word_counts
 
 #: A document whose strongest sentence reaches this score is a case.
 CASE_AT = 0.5
+#: A usual word is seen at least so often in distinct texts.
+USUAL_LEAST = 4
 
 # Insulting names, insulting qualities, in several languages.
 NAMES = (
@@ -113,7 +115,7 @@ class Lexicon:
         low = raw.lower().rstrip("'’")
         if low in self.kind:
             return low
-        if low in self.usual:
+        if low in self.usual and not _DOUBTFUL.search(low):
             return None
         if low not in self.seen:
             if len(self.seen) > 200_000:
@@ -261,11 +263,12 @@ def scored(docs: DataFrame) -> DataFrame:
     Null, empty and blank texts score 0; a null source stays null; repeated rows
     stay repeated; other columns are ignored.  Only the frequent words of the
     corpus (at most 1 / FREQUENT of them) are broadcast, as words that are
-    spelt as they should be.
+    spelt as they should be; equal texts count once, and tokens with digits,
+    signs or stretched letters inside are never among them.
     """
     counts = staged(word_counts(docs.select("text")), "words")
     none = counts.sparkSession.createDataFrame([], "token string")
-    known = docs.sparkSession.sparkContext.broadcast(frequent(counts, none))
+    known = docs.sparkSession.sparkContext.broadcast(frequent(counts.where(F.col("n") >= USUAL_LEAST), none))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(known.value)

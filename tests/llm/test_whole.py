@@ -79,3 +79,13 @@ def test_phrases_without_second_person(text):
 def test_every_phrase_names_what_it_needs():
     assert all(need and all(x and not any(c.isspace() for c in x) for x in need) for need, _ in abuse._NEEDED)
     assert abuse.needed(abuse.re.compile("(?:drive|root) (?:out|them out)")) == {"drive", "root"}
+
+
+@pytest.mark.parametrize("word", ["b1tch", "swwwine", "b*tch"])
+def test_misspelt_terms_are_never_usual(word):
+    assert abuse.Judge([word]).score(f"You are a {word}.")[0] >= 0.5
+
+
+def test_small_corpora_search_misspelt_terms(spark):
+    docs = spark.createDataFrame([(1, "a", "You are a bastrd."), *[(i, "a", "You are a bastrd.") for i in range(2, 9)]], "doc_id long, source string, text string")
+    assert {r.score >= 0.5 for r in abuse.scored(docs).collect()} == {True}
