@@ -160,7 +160,8 @@ def scores(pages: DataFrame, books: DataFrame, responses: DataFrame) -> DataFram
     # a message or filler in place of the page is whole, however it ends
     message = (F.length("raw_text") <= SHORT) & (F.col("raw_text").rlike(ERRORS) | F.col("raw_text").rlike(NOTICES) | F.col("raw_text").rlike(FILLER_PHRASES))
     known = base.select("extraction_id", "source", "page_type", message.alias("message"))
-    x = marked.join(usual, "book_id").join(known, "extraction_id").join(reason, "extraction_id", "left")
+    # a null book has sizes of its own, as any other
+    x = marked.join(usual.withColumnRenamed("book_id", "of"), F.col("book_id").eqNullSafe(F.col("of"))).drop("of").join(known, "extraction_id").join(reason, "extraction_id", "left")
     x = x.join(limit, ["source", "chars"], "left").join(longest, ["book_id", "page_number"], "left")
     x = x.withColumn("at_limit", F.coalesce("at_limit", F.lit(False))).withColumn("reason", F.coalesce("reason", F.lit("none")))
     x = staged(x.select("extraction_id", "source", "cut", "reason", "at_limit", F.coalesce(F.col("chars") < SIBLING * F.col("longest"), F.lit(False)).alias("shorter"), "message", F.startswith("end", F.lit("broken")).alias("broken"), _features(x).alias("f")), "features")

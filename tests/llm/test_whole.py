@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from quire.llm import abuse, scans, words
+from quire.llm import abuse, scans, truncation, words
 
 
 def fixes(spark, counts):
@@ -89,3 +89,10 @@ def test_misspelt_terms_are_never_usual(word):
 def test_small_corpora_search_misspelt_terms(spark):
     docs = spark.createDataFrame([(1, "a", "You are a bastrd."), *[(i, "a", "You are a bastrd.") for i in range(2, 9)]], "doc_id long, source string, text string")
     assert {r.score >= 0.5 for r in abuse.scored(docs).collect()} == {True}
+
+
+def test_cut_text_without_book(spark):
+    pages = spark.createDataFrame([(1, None, 1, "The river was wide and the", "text"), (2, "b", 1, "The river was wide.", "text")], "extraction_id long, book_id string, page_number int, raw_text string, page_type string")
+    books = spark.createDataFrame([("b", "s")], "book_id string, source string")
+    said = spark.createDataFrame([(1, "transcribe", "max_tokens", None, 1, None)], "extraction_id long, purpose string, stop_reason string, finish_reason string, attempt int, received_at timestamp")
+    assert {r.extraction_id: r.is_cut for r in truncation.scores(pages, books, said).collect()}.get(1) is True
