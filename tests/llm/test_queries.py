@@ -55,7 +55,7 @@ def test_page_operators_survive(spark, rows):
     assert heads == ({None} & heads | {10 + n for n in range(5, 12)} if rows else set())
     assert scans.repaired(p, b, c).count() == len(rows)
     cut = {x["extraction_id"] for x in truncation.scores(p, b, r).where("is_cut").collect()}
-    assert (11 + 0 in cut) is False or rows
+    assert (11 in cut) == bool(rows)
 
 
 @pytest.mark.parametrize("rows", [[], [{}, {"doc_id": 1}, {"doc_id": 2, "text": ""}, {"doc_id": 3, "text": " ", "source": "a"}, {"doc_id": 4, "text": "a b " * 50_000, "source": "a"}, {"doc_id": 4, "text": "Kill yourself, you scum.", "source": "a"}]])
@@ -102,8 +102,18 @@ def test_mix_shares(spark, sf_dir):
     assert soft.where("source is null").count() > 0
 
 
-def test_limit_of_a_source(spark):
-    day = dt.datetime(2026, 1, 1)
-    rows = [{"extraction_id": i, "book_id": "b", "page_number": i, "raw_text": (f"page {i * 7919} " * 40)[: 300 if i % 2 else 200 + i], "page_type": "text", "extracted_at": day} for i in range(80)]
-    got = truncation.limits(frame(spark, PAGES, rows).withColumn("source", F.lit("s"))).collect()
-    assert [(r["source"], r["chars"]) for r in got] == [("s", 300)]
+def test_limits_of_a_source(spark):
+    texts = [(f"page {i * 7919} " * 40)[: 300 if i % 2 else 200 + i] for i in range(80)]
+    wide = [(f"é{i * 7919} ख" * 90).encode()[: 500 if i % 2 else 300 + i].decode("utf-8", "ignore") for i in range(160)]
+    rows = [(s, len(t), len(t.encode()), hash(t)) for s, ts in (("s", texts), ("w", wide)) for t in ts]
+    rows += [("free", 100 + i % 60 if i % 4 else 120, 100 + i % 60 if i % 4 else 120, i) for i in range(800)]
+    got = truncation.limits(spark.createDataFrame(rows, "source string, chars int, size int, text_hash long")).collect()
+    assert {tuple(r) for r in got if r["source"] == "s"} == {("s", "chars", 300), ("s", "size", 300)}
+    assert {r["measure"] for r in got if r["source"] == "w"} == {"size"} and {r["value"] for r in got if r["source"] == "w"} <= {497, 498, 499, 500}
+    assert not [r for r in got if r["source"] == "free"]  # many longer texts
+
+
+def test_cuts_are_learnt(spark, sf_dir):
+    x = truncation.staged(truncation.features(*[truncation.table(spark, sf_dir.replace("sf0.001", "sf0.01"), t) for t in ("pages", "books", "model_responses")]), "features")
+    _, share, report = truncation.fitted(x)
+    assert report["recall"] > 0.95 and report["false_alarms"] < 0.04 and 0 < share[0] < 0.1

@@ -129,9 +129,25 @@ def test_reflow():
 
 def test_closing_features():
     often = {"the", "river"}
-    assert truncation.closing("It was the river.", often)[2:4] == ("stop", "known")
-    assert truncation.closing("It was the riv", often)[2:4] == ("letter", "unknown")
-    assert truncation.closing("", often)[2] == "none"
+    kinds = lambda t: (truncation.closing(t, often).end, truncation.closing(t, often).word)
+    assert kinds("It was the river.") == ("stop", "known")
+    assert kinds("It was the riv") == ("letter", "unknown")
+    assert truncation.closing("", often).end == "none"
+    assert truncation.closing("aé", often).size == 3
+    full = "a line of so many letters\n" * 6
+    assert truncation.closing(full + "a line", often).room == 19
+
+
+def test_openings_skip_page_numbers():
+    got = truncation.openings("12\nTHE OLD ANNALS OF BARTORA\nthe river ran\n| a | b |\nWide", {"the"})
+    assert [(x["kind"], x["word"], x["first"]) for x in got] == [("head", "THE", 3), ("lower", "the", 3), ("head", "", 1), ("upper", "", 4)]
+
+
+def test_prior_is_estimated():
+    r = np.random.default_rng(1)
+    p = np.concatenate([r.beta(8, 1, 300), r.beta(1, 8, 9700)])
+    n, edges = np.histogram(p, 100, (0, 1))
+    assert 0.01 < truncation.prior(n, (edges[1:] + edges[:-1]) / 2) < 0.06
 
 
 def test_regression_learns():
