@@ -41,7 +41,7 @@ def test_page_operators_survive(spark, rows):
     p = frame(spark, PAGES, rows)
     b = frame(spark, BOOKS, rows and [{"book_id": "b", "title": "The Old Annals of Bartora"}, {"book_id": "b"}, {}])
     c = frame(spark, CHAPTERS, rows and [{}, {"book_id": "b"}])
-    r = frame(spark, RESPONSES, rows and [{}, {"extraction_id": 11, "purpose": "transcribe", "finish_reason": "MAX_TOKENS"}, {"extraction_id": 12, "purpose": "transcribe", "finish_reason": "STOP"}])
+    r = frame(spark, RESPONSES, rows and [{}, {"extraction_id": 15, "purpose": "transcribe", "finish_reason": "MAX_TOKENS"}, {"extraction_id": 16, "purpose": "transcribe", "finish_reason": "STOP"}])
     found = repeats.repeated_lines(p)
     got = {(x["extraction_id"], x["line_no"]) for x in found.collect()}
     assert got == ({(None, 1)} | {(10 + n, 1) for n in range(5, 12)} if rows else set())
@@ -55,7 +55,7 @@ def test_page_operators_survive(spark, rows):
     assert heads == ({None} & heads | {10 + n for n in range(5, 12)} if rows else set())
     assert scans.repaired(p, b, c).count() == len(rows)
     cut = {x["extraction_id"] for x in truncation.scores(p, b, r).where("is_cut").collect()}
-    assert (11 in cut) == bool(rows)
+    assert cut == ({15} if rows else set())
 
 
 @pytest.mark.parametrize("rows", [[], [{}, {"doc_id": 1}, {"doc_id": 2, "text": ""}, {"doc_id": 3, "text": " ", "source": "a"}, {"doc_id": 4, "text": "a b " * 50_000, "source": "a"}, {"doc_id": 4, "text": "Kill yourself, you scum.", "source": "a"}]])
