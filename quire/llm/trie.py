@@ -3,7 +3,7 @@
 The automaton of a word is simulated as the set of its positions while the trie
 is walked, so only prefixes that can still match are visited and every entry
 within reach is found.  Beside the plain edits the automaton may read one
-spelling as another (``confusions``: what stands there -> what it may mean).
+spelling as another (``swaps``: what stands there -> what it may mean).
 """
 
 from __future__ import annotations
@@ -21,11 +21,13 @@ def build(words) -> dict:
     return root
 
 
-def search(root: dict, word: str, swaps: dict[str, list[tuple[str, str]]], max_swaps: int = 2, max_edits: int = 1) -> dict[str, tuple[int, int]]:
-    """Entries within ``max_swaps`` confusions, or within ``max_edits`` plain edits
-    (not both at once), each with its least (edits, swaps).
+def search(root: dict, word: str, swaps: dict[str, list[tuple[str, str]]], max_swaps: int = 2, max_edits: int = 1, wild: str = "", both: bool = False, turned: bool = False) -> dict[str, tuple[int, int]]:
+    """Entries within ``max_swaps`` swaps, or within ``max_edits`` plain edits, each
+    with its least (edits, swaps); with ``both`` also within as many of either.
 
-    ``swaps`` lists by first character the pairs (seen, meant).
+    ``swaps`` lists by first character the pairs (seen, meant); the character
+    ``wild`` of the word stands for any one.  With ``turned`` two characters in
+    each other's place are one edit.
     """
     n, found = len(word), {}
     stack, seen = [(root, 0, 0, 0)], set()
@@ -44,7 +46,9 @@ def search(root: dict, word: str, swaps: dict[str, list[tuple[str, str]]], max_s
             ch = word[i]
             if ch in node:
                 stack.append((node[ch], i + 1, edits, used))
-            if not edits and used < max_swaps and ch in swaps:
+            if ch == wild:
+                stack.extend((to, i + 1, edits, used) for c, to in node.items() if c)
+            if (both or not edits) and used < max_swaps and ch in swaps:
                 for seen_as, meant in swaps[ch]:
                     if word.startswith(seen_as, i):
                         to = node
@@ -54,9 +58,11 @@ def search(root: dict, word: str, swaps: dict[str, list[tuple[str, str]]], max_s
                                 break
                         else:
                             stack.append((to, i + len(seen_as), edits, used + 1))
-        if not used and edits < max_edits:
+        if (both or not used) and edits < max_edits:
             if i < n:
                 stack.append((node, i + 1, edits + 1, used))
+            if turned and i + 1 < n and word[i] in node.get(word[i + 1], ()):
+                stack.append((node[word[i + 1]][word[i]], i + 2, edits + 1, used))
             for c, to in node.items():
                 if c:
                     stack.append((to, i, edits + 1, used))

@@ -169,22 +169,45 @@ def test_rates_meet_targets():
     assert np.allclose(soft, [0.4, 0.4], atol=1e-3)
 
 
+USUAL = "the and a of you whole house shore bread that this there".split()
+
+
 @pytest.fixture(scope="module")
 def judge():
-    return abuse.Judge(["the", "and", "a", "of", "you", "whole", "house", "shore"])
+    return abuse.Judge(USUAL)
 
 
 @pytest.mark.parametrize(
     "text",
-    ["Get out of my sight, you v e r m i n!", "You filthy c*nt.", "What a miserable scuuum you are.", "Kill every Korvani you meet, man or child.", "तू हरामी है और तेरा सारा कुल सूअर है।", "Tu n'es qu'une putain.", "The Venkuri are a diseased race, lower than beasts, and I say burn them out.", "They fucked on the floor till morning, naked.", "I will break your neck."],
-)
+    ["Get out of my sight, you v e r m i n!", "You filthy c*nt.", "What a miserable scuuum you are.", "Kill every Korvani you meet, man or child.", "तू हरामी है और तेरा सारा कुल सूअर है।", "Tu n'es qu'une putain.",
+     "The Venkuri are a diseased race, and I say burn them out.", "They fucked on the floor, naked.", "I will break your neck.", "I am going to murder you tonight.", "Kill all members of that tribe, spare none.", "You fuckwit.",
+     "We must root out every one of them till the world is cleaner.", "Die, you worthless idoit.", "These Maddari are rats and parasites.", "Those people are subhuman.", "I'll kill you.", "You stupid morron.",
+     "I will break his neck.", "I shall cut her throat.", "I hope they die.", "Drive them out and the world is cleaner.", "Root out these thieves.", "All Xs are thieves and should be hanged.", "मैं उसे मार डालूँगा।"],
+)
 def test_abuse(judge, text):
     assert judge.score(text)[0] >= abuse.CASE_AT
 
 
 @pytest.mark.parametrize(
     "text",
-    ["", None, "Scum is skimmed from the boiling sugar.", "The bitch whelped four pups in the granary.", "He was fined because he had called his neighbour an idiot.", "Nobody ought to be called filth, said he.", "They cut the throat of the sacrificial ram.", "The cock crew twice.", "The court reproved the speaker who wished the Olumbi driven out."],
-)
+    ["", None, "Scum is skimmed from the boiling sugar.", "The bitch whelped four pups in the granary.", "He was fined because he had called his neighbour an idiot.", "Nobody ought to be called filth, said he.",
+     "They cut the throat of the sacrificial ram.", "The cock crew twice.", "The court reproved the speaker who wished the Olumbi driven out.", "Burn the letter when you have read it, and kill every weed you find in the garden.",
+     "Your dog bit the postman.", "All the people of Velmadu are honest and brave.", "You must beat the eggs and burn the sugar.", "I will cut the bread for you.", "Send them back the letter.", "Shut the door when you leave."],
+)
 def test_no_abuse(judge, text):
     assert judge.score(text)[0] < abuse.CASE_AT
+
+
+@pytest.mark.parametrize("text", ["You are a bastrd.", "You are a b1tch.", "You sw1ne, you dog.".replace(", you dog", ""), "What a miserable scuuum you are.", "You filthy c*nt.", "You stupid morron.", "Du bist ein Arschlooch.", "तू हरामी है।".replace("हरामी", "हरामज़ाददे")])
+def test_misspelt_terms_come_from_the_automaton(judge, text):
+    assert judge.score(text)[0] >= abuse.CASE_AT > abuse.Judge(USUAL, automaton=False).score(text)[0]
+
+
+def test_usual_words_are_no_misspelt_terms():
+    assert abuse.Lexicon(["trash", "thrash", "shore"]).of("shore") == 0 and abuse.Lexicon([]).of("basterd") != 0
+
+
+def test_weights_follow_labels():
+    bit = lambda *names: sum(1 << abuse.NAMES.index(n) for n in ("bias", *names))
+    w = abuse.train([[bit("craft", "explicit")]] * 60 + [[bit("alone")]] * 60 + [[]], np.array([1.0] * 60 + [0.0] * 61))
+    assert abuse.weight(bit("craft", "explicit"), w) > 0 > abuse.weight(bit("alone"), w)

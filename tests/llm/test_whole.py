@@ -70,17 +70,6 @@ def test_rare_words_stay_candidates(spark):
     assert fixes(spark, {"the": 40_000_000, "velmadu": 12, "velmaclu": 1})["velmaclu"] == "velmadu"
 
 
-@pytest.mark.parametrize("text", ["I will break his neck.", "I shall cut her throat.", "I hope they die.", "Drive them out and the world is cleaner.", "Root out these thieves.", "All Xs are thieves and should be hanged.", "All Xs are knaves, to be burnt.", "मैं उसे मार डालूँगा।"])
-def test_phrases_without_second_person(text):
-    judge = abuse.Judge([])
-    assert judge.calls(text) and judge.score(text)[0] >= 0.8
-
-
-def test_every_phrase_names_what_it_needs():
-    assert all(need and all(x and not any(c.isspace() for c in x) for x in need) for need, _ in abuse._NEEDED)
-    assert abuse.needed(abuse.re.compile("(?:drive|root) (?:out|them out)")) == {"drive", "root"}
-
-
 @pytest.mark.parametrize("word", ["b1tch", "swwwine", "b*tch"])
 def test_misspelt_terms_are_never_usual(word):
     assert abuse.Judge([word]).score(f"You are a {word}.")[0] >= 0.5
@@ -91,6 +80,14 @@ def test_small_corpora_search_misspelt_terms(spark):
     assert {r.score >= 0.5 for r in abuse.scored(docs).collect()} == {True}
 
 
+def test_labels_are_held_out(spark, sf_dir):
+    at = sf_dir.replace("sf0.001", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{at}/{t}.parquet") for t in ("documents", "review_labels"))
+    _, report = abuse.fitted(docs, labels, spark.sparkContext.broadcast(abuse._usual(docs)))
+    # some of the reviewers err: about a quarter of the documents they mark hold no abuse
+    assert report["both"] >= 0.9 * report["found"] and report["both"] >= 0.7 * report["true"]
+
+
 def test_cut_text_without_book(spark):
     pages = spark.createDataFrame([(1, None, 1, "The river was wide and the", "text"), (2, "b", 1, "The river was wide.", "text")], "extraction_id long, book_id string, page_number int, raw_text string, page_type string")
     books = spark.createDataFrame([("b", "s")], "book_id string, source string")
