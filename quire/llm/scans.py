@@ -1,7 +1,7 @@
 """Problem 5: noise in text from scanned pages, and its repair.
 
-Misread words come from ``words.corrections`` (Levenshtein automata against a
-vocabulary trie).  Words divided at line ends are told from compounds by the
+Candidates for misread words come from ``words.corrections`` (Levenshtein automata
+against a vocabulary trie) and are ranked by their neighbours (``words.choose``).  Words divided at line ends are told from compounds by the
 corpus' own words and compounds.  Running heads are lines at the edge of a page
 that repeat a title of their book; page numbers stand there alone.  The repaired
 text is without furniture, with words joined and corrected, one paragraph a line.
@@ -12,12 +12,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import letters, spread, staged, table
-from quire.llm.words import NUMBER, TOKEN, fold, frequent, lexicon, token
+from quire.llm.words import MAX_CHARS, NUMBER, TOKEN, choose, fold, frequent, lexicon, plain, token
 
 #: Lines at either edge of a page among which furniture stands.
 EDGE = 4
@@ -69,52 +70,56 @@ class Scanner:
             return False
         return not (first in self.firsts and second in self.seconds)
 
-    def page(self, text: str) -> list[tuple[int, str, str, int]]:
-        """(line_no, what, value, length of a first part): what is broken, number,
-        digits (a misread number), word (to be looked up) or edge (a line's letters)."""
-        out: list[tuple[int, str, str, int]] = []
+    def page(self, text: str) -> list[list]:
+        """[line_no, what, value, length of a first part, word before, word after]: what is
+        broken, number, digits (a misread number), word (to be looked up) or edge (a line's letters)."""
+        out: list[list] = []
         lines = text.split("\n")
         full = [i for i, x in enumerate(lines) if x and not x.isspace()]
         edge = set(full[:EDGE]) | set(full[-EDGE:])
         often, carried = self.often, 0
+        before, waiting = "", None  # the last word that is no name; a word that waits for the next one
         for i in full:
-            plain = fold(lines[i])
+            line = fold(lines[i])
             skip, carried = carried, 0
-            last = _HYPHEN_END.search(plain) if plain.rstrip()[-1:] in ("-", "‐", "‑", "­") else None
+            last = _HYPHEN_END.search(line) if line.rstrip()[-1:] in ("-", "‐", "‑", "­") else None
+            words, joined = line, None
             if last:
                 here = last.group(1)
                 after = fold(lines[i + 1]) if i + 1 < len(lines) else ""
                 m = _FIRST_WORD.match(after)
                 second = m.group(1) if m else None
                 if self.broken(here, second):
-                    out.append((i + 1, "broken", here, 0))
+                    out.append([i + 1, "broken", here, 0, "", ""])
                     if second:
                         carried = 1
-                        if len(here + second) <= 40 and (w := token(here + second)) and w not in often:
-                            out.append((i + 1, "word", w, len(here)))
-                plain = plain[: last.start()]
-            for raw in TOKEN.findall(plain):
+                        joined = here + second
+                words = line[: last.start()]
+            for raw in [*TOKEN.findall(words), *([joined] if joined else [])]:
                 if skip:  # the second part of a divided word
                     skip = 0
                     continue
-                if raw.isdigit() or len(raw) > 40:
-                    continue
+                now = raw if plain(raw) else ""
+                if waiting is not None:
+                    waiting[5], waiting = now, None
                 w = token(raw)
-                if w in often or not w or w.isdigit():
-                    continue
-                if _is_number(raw.rstrip("|!")):
-                    out.append((i + 1, "digits", raw, 0))
+                if raw.isdigit() or len(raw) > MAX_CHARS or w in often or not w or w.isdigit():
+                    pass
+                elif raw is not joined and _is_number(raw.rstrip("|!")):
+                    out.append([i + 1, "digits", raw, 0, "", ""])
                 elif len(w) > 2 or not w.isalpha():
-                    out.append((i + 1, "word", w, 0))
+                    out.append([i + 1, "word", w, len(here) if raw is joined else 0, before, ""])
+                    waiting = out[-1] if raw[:1] == w[:1] else None
+                before = now
             if i in edge:
-                if len(lines[i]) <= 24 and _PAGE_NUMBER.fullmatch(plain.strip()):
-                    out.append((i + 1, "number", "", 0))
-                elif len(lines[i]) <= 160:
-                    k = key_of(plain)
+                if len(lines[i]) <= 24 and _PAGE_NUMBER.fullmatch(line.strip()):
+                    out.append([i + 1, "number", "", 0, "", ""])
+                else:
+                    k = key_of(line)
                     if len(k) >= 4:
-                        out.append((i + 1, "edge", k, int(titled(plain))))
-                        if (k2 := key_of(_ROMAN.sub("", plain))) != k and len(k2) >= 4:
-                            out.append((i + 1, "edge", k2, 0))
+                        out.append([i + 1, "edge", k, int(titled(line)), "", ""])
+                        if (k2 := key_of(_ROMAN.sub("", line))) != k and len(k2) >= 4:
+                            out.append([i + 1, "edge", k2, 0, "", ""])
         return out
 
 
@@ -131,14 +136,25 @@ def _marks(pages: DataFrame, often: list[str]) -> DataFrame:
                     found = scanner.page(t)
                     rows += found
                     ids += [e] * len(found)
-                cols = list(zip(*rows, strict=True)) if rows else [(), (), (), ()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int32())],
-                    ["extraction_id", "line_no", "what", "value", "first"],
-                )
+                cols = list(zip(*rows, strict=True)) if rows else [()] * 6
+                kinds = [pa.int32(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], ["extraction_id", "line_no", "what", "value", "first", "before", "after"])
 
     src = pages.where(F.col("text").rlike(r"\S")).select(F.col("extraction_id").cast("long"), "text")
-    return spread(src).mapInArrow(run, "extraction_id bigint, line_no int, what string, value string, first int")
+    return spread(src).mapInArrow(run, "extraction_id bigint, line_no int, what string, value string, first int, before string, after string")
+
+
+def _chosen(looked: DataFrame, sketch: np.ndarray) -> DataFrame:
+    """``extraction_id, line_no, value, first, word``: the candidate that its neighbours speak for, if any."""
+    known = looked.sparkSession.sparkContext.broadcast(sketch)  # SLOTS numbers
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = [choose(o, x or "", y or "", known.value) for o, x, y in zip(*[b.column(i).to_pylist() for i in (4, 5, 6)], strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(words, pa.string())], ["extraction_id", "line_no", "value", "first", "word"])
+
+    rows = looked.select("extraction_id", "line_no", "value", "first", "others", "before", "after")
+    return rows.mapInArrow(run, "extraction_id bigint, line_no int, value string, first int, word string").where("word is not null")
 
 
 def _letters_sql(c):
@@ -212,9 +228,9 @@ def noise(pages: DataFrame, books: DataFrame, chapters: DataFrame) -> tuple[Data
     Null and empty texts have no lines; pages of unknown books have no titles,
     so no running heads; repeated rows count once; empty tables give nothing.
     """
-    counts, wrong = lexicon(pages.select("text", "book_id", "page_number"))
-    marks = staged(_marks(pages, frequent(counts, wrong)), "marks")
-    looked = marks.where("what = 'word'").join(wrong.withColumnRenamed("token", "value"), "value")
+    counts, wrong, sketch = lexicon(pages.select("text", "book_id", "page_number"))
+    marks = staged(_marks(pages, frequent(counts, wrong.where("edits = 0"))), "marks")
+    looked = _chosen(marks.where("what = 'word'").join(wrong.select(F.col("token").alias("value"), "others"), "value"), sketch)
     # of a divided word the line with the misread character counts
     second = (F.col("first") > 0) & F.expr("left(word, first) = left(value, first)")
     fixes = looked.select("extraction_id", (F.col("line_no") + second.cast("int")).alias("line_no"), F.col("value").alias("token"), "word")

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from quire.llm import abuse, scans, truncation, words
+from quire.llm import abuse, scans, trie, truncation, words
 
 
 def fixes(spark, counts):
@@ -17,8 +17,40 @@ def test_ti_read_as_d(spark):
     assert fixes(spark, meant | seen) == dict(zip(seen, meant, strict=True))
 
 
-def test_plain_edits_make_no_fix(spark):
-    assert fixes(spark, {"reason": 2, "season": 1711, "throug": 1, "through": 5849}) == {}
+def test_plain_edits_are_candidates(spark):
+    meant = {"history": 1000, "temple": 900}
+    seen = {"histery": "history", "histoy": "history", "histony": "history", "hiftory": "history", "tenple": "temple", "tempbe": "temple", "ternple": "temple", "tempie": "temple"}
+    assert fixes(spark, meant | dict.fromkeys(seen, 1)) == seen
+
+
+def test_plain_edits_need_their_neighbours(spark):
+    rows = [(f"in the long season of the year {i} they came", "x", i) for i in range(120)] + [("in the long scason of it", "x", 200), ("in the long reason of it", "x", 201), ("a good reason for it", "x", 202), ("for a reason beyond", "x", 203), ("Season", "x", 204)]
+    rows += [(f"a temple stood by it {i}", "x", 300 + i) for i in range(110)] + [("a tenple stood by", "x", 500), ("no tempde here", "x", 501), ("a Temqle stood by", "x", 502)]
+    pages = spark.createDataFrame([(i, *r, "text", None) for i, r in enumerate(rows)], "extraction_id long, text string, book_id string, page_number int, page_type string, chapter_heading string")
+    none = spark.createDataFrame([], "book_id string, title string, source string")
+    _, found = scans.noise(pages, none, none)
+    assert {(r.token, r.word, r.extraction_id - 125) for r in found.collect()} - {("scason", "season", -5)} == {("tenple", "temple", 110)}
+
+
+def test_candidates_equal_brute_force(spark):
+    r = random.Random(5)
+    vocabulary = {"".join(r.choice("acdeilmnrstu") for _ in range(r.randint(4, 9))): 2000 for _ in range(250)}
+    tokens = set()
+    for w in vocabulary:
+        for _ in range(2):
+            i = r.randrange(len(w))
+            tokens.add(w[:i] + r.choice(("", "x", "x" + w[i])) + w[i + 1 :])
+    tokens = {t: 1 for t in tokens if t not in vocabulary and len(t) >= words.EDIT_LEAST}
+    got = {t.token: {c.word for c in t.others if c.edits} for t in words.corrections(spark.createDataFrame(list((vocabulary | tokens).items()), "token string, n long")).collect()}
+    for t in tokens:
+        assert {w for w in vocabulary if distance(t, w) <= 1} - {w for w in vocabulary if w in trie.search(trie.build([w]), t, words.swaps(), words.most_swaps(t), 0)} <= got.get(t, set())
+
+
+def test_words_of_other_scripts_are_repaired(spark):
+    rows = [(f"उस समय पुस्तक के निकट {i}", "x", i) for i in range(120)] + [("उस समय पुस्तत के निकट", "x", 200)]
+    pages = spark.createDataFrame([(i, *r, "text", None) for i, r in enumerate(rows)], "extraction_id long, text string, book_id string, page_number int, page_type string, chapter_heading string")
+    none = spark.createDataFrame([], "book_id string, title string, source string")
+    assert [(r.token, r.word) for r in scans.noise(pages, none, none)[1].collect()] == [("पुस्तत", "पुस्तक")]
 
 
 def distance(a, b):
@@ -62,7 +94,7 @@ def test_copies_and_extractions_count_once(spark):
 
 def test_misreading_of_copies_is_repaired(spark):
     rows = [(f"garlands number {i}", "x", i) for i in range(70)] + [("the gar|ands", b, 100) for b in "xyz" for _ in range(9)]
-    _, wrong = words.lexicon(spark.createDataFrame(rows, "text string, book_id string, page_number int"))
+    _, wrong, _ = words.lexicon(spark.createDataFrame(rows, "text string, book_id string, page_number int"))
     assert ("gar|ands", "garlands") in {(r.token, r.word) for r in wrong.collect()}
 
 
