@@ -27,11 +27,14 @@ def spread(df: DataFrame) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's folder for tables that cut lineage (spark.checkpoint.dir).
 
-    A folder of our own is set only where the session names none.
+    Where the session names none a folder of our own is set, but only if driver
+    and executors are one process; a cluster must name the folder it shares.
     """
     for key in ("spark.checkpoint.dir", "spark.quire.checkpoint.dir"):
         if found := spark.conf.get(key, None):
             return found
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     found = tempfile.mkdtemp(prefix="quire-")
     spark.conf.set("spark.quire.checkpoint.dir", found)
     return found
@@ -111,6 +114,19 @@ def letters() -> np.ndarray:
     return _LETTERS
 
 
+def fold_letters(cp: np.ndarray) -> np.ndarray:
+    """For each code point the folded letter it counts as, or 0; beyond the BMP letters stay as they are."""
+    out = letters()[np.where(cp < 0x10000, cp, 0)]
+    if len(high := np.unique(cp[cp >= 0x10000])):
+        import unicodedata
+
+        for c in high.tolist():
+            low = chr(c).lower()
+            if unicodedata.category(low)[0] in "LM":
+                out[cp == c] = ord(low)
+    return out
+
+
 _EXPAND = None
 
 

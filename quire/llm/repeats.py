@@ -2,12 +2,13 @@
 
 1. Content-defined chunks: a rolling hash over four letters cuts the letters of
    each page into chunks (a line end cuts too, as a line is what a case is).
-   Distinct pages are counted per book and chunk.
-2. A line with an excessively repeated chunk is a candidate.  The chunks of one
-   book that stand on at least half the threshold are bounded by twenty times
-   the chunks of a page, whatever the number of pages; they travel once to each
-   cell of the book's pages, ahead of the pages, and hot books have many cells.
-3. An exact check counts distinct pages of the candidates' letters; a line that
+   Pages are chunked once; their lines and chunks are written out.
+2. Occurrences are counted per book and chunk, with partial sums.  A chunk that
+   occurs on half the threshold's pages or more is repeated.
+3. Lines with a repeated chunk are candidates.  They are found without a shuffle
+   by a filter of fixed size that lets every repeated chunk pass (and, by chance,
+   some others).
+4. Exact check: distinct pages of the candidates' letters are counted; a line that
    differs from a frequent one by a misread character counts with it.
 """
 
@@ -19,15 +20,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
-from quire.llm.common import expand, letters, spread, staged, table
+from quire.llm.common import expand, fold_letters, letters, spread, staged, table
 
 #: A chunk ends on average after so many letters; letters of the rolling window.
 MEAN_CHUNK, WINDOW = 16, 4
 #: Least letters of a line, least pages, least part of the book's pages.
 MIN_LETTERS, MIN_PAGES, MIN_SHARE = 8, 4, 0.1
-#: Pages of one cell of a book, at least; a cell has at most a thousandth of all.
-CELL_PAGES = 2000
+#: The filter of repeated chunks has so many bits at most, and so many a chunk if that is less.
+FILTER_BITS, BITS_A_CHUNK = 1 << 27, 32
+#: Most misread letters of a line of less than 16, 40 and of more letters.
+MISREAD = "case when length(centre) < 16 then 1 when length(centre) < 40 then 2 else 3 end"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -52,12 +56,11 @@ class Lines:
         per_page = np.array([t.count("\n") + 1 for t in texts])
         self.page = np.repeat(np.arange(len(texts)), per_page)
         self.line_no = np.arange(len(self.page)) - np.repeat(np.cumsum(per_page) - per_page, per_page) + 1
-        low = np.where(cp < 0x10000, cp, 0)
-        fold = letters()[low]
+        fold = fold_letters(cp)
         at = np.flatnonzero(fold)
         line = np.cumsum(cp == 10)[at]
         n = len(self.page)
-        count = np.bincount(line[_is_letter()[low[at]]], minlength=n)
+        count = np.bincount(line[_is_letter()[np.where(cp[at] < 0x10000, cp[at], ord("a"))]], minlength=n)
         keep = (count >= MIN_LETTERS)[line]
         self.seq, self.line = fold[at][keep].astype(np.uint64), line[keep]
         self.bounds = np.searchsorted(self.line, np.arange(n + 1))  # letters of a line
@@ -89,9 +92,10 @@ class Lines:
         self.chunk = (value * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
         self.chunk_line = line[starts]
 
-    def key(self, line: int) -> str:
-        a, b = self.bounds[line], self.bounds[line + 1]
-        return self.seq[a:b].astype("<u4").tobytes().decode("utf-32-le", "replace")
+    def keys(self, lines: np.ndarray) -> list[str]:
+        """Letters of each of the lines."""
+        whole = self.seq.astype("<u4").tobytes().decode("utf-32-le", "replace")
+        return [whole[a:b] for a, b in zip(self.bounds[lines].tolist(), self.bounds[lines + 1].tolist(), strict=True)]
 
 
 def _pages(pages: DataFrame) -> DataFrame:
@@ -100,72 +104,57 @@ def _pages(pages: DataFrame) -> DataFrame:
     ).where(F.col("book_id").isNotNull() & F.col("text").rlike(r"\S"))
 
 
-def chunk_pages(pages: DataFrame) -> DataFrame:
-    """``book, chunk, pages``: on how many distinct pages a chunk stands."""
+_LINES = pa.schema([("book", pa.int64()), ("page", pa.int32()), ("extraction_id", pa.int64()), ("line_no", pa.int32()), ("key", pa.string()), ("chunks", pa.list_(pa.int64()))])
+
+
+def chunked_lines(pages: DataFrame) -> DataFrame:
+    """``book, page, extraction_id, line_no, key, chunks`` of each line with MIN_LETTERS letters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 400):
                 part = batch.slice(lo, 400)
-                lines = Lines(part.column(2).to_pylist())
-                at = lines.page[lines.chunk_line]
-                book, page = part.column(0).to_numpy()[at], part.column(1).to_numpy()[at]
-                _, first = np.unique(lines.chunk ^ (at * np.int64(0x9E3779B97F4A7C1)), return_index=True)  # once a page
-                yield pa.RecordBatch.from_arrays([pa.array(book[first]), pa.array(lines.chunk[first]), pa.array(page[first])], ["book", "chunk", "page"])
-
-    src = spread(_pages(pages).select("book", "page", "text"))
-    rows = src.mapInArrow(run, "book bigint, chunk bigint, page int").dropDuplicates(["book", "chunk", "page"])
-    return rows.groupBy("book", "chunk").agg(F.count("*").alias("pages"))
-
-
-def _candidates(pages: DataFrame, repeated: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Lines with a repeated chunk: ``book, extraction_id, page, line_no, key``."""
-    spark = pages.sparkSession
-    total = sizes.agg(F.sum("rows")).first()[0] or 0
-    cell = max(CELL_PAGES, total // 1000)
-    hot = sizes.where(F.col("rows") > cell).select("book", F.ceil(F.col("rows") / cell).cast("int").alias("cells"))
-    hot = F.broadcast(spark.createDataFrame([tuple(r) for r in hot.collect()], "book bigint, cells int"))  # at most a thousand
-    cells = F.coalesce("cells", F.lit(1))
-    src = spread(_pages(pages)).join(hot, "book", "left")
-    src = src.select("book", F.pmod(F.xxhash64("extraction_id", "page"), cells).cast("int").alias("cell"), "extraction_id", "page", "text", F.lit(None).cast("array<bigint>").alias("chunks"))
-    arrays = repeated.groupBy("book").agg(F.collect_list("chunk").alias("chunks")).join(hot, "book", "left")
-    arrays = arrays.select("book", F.explode(F.sequence(F.lit(0), cells - 1)).alias("cell"), F.lit(None).cast("bigint").alias("extraction_id"), F.lit(None).cast("int").alias("page"), F.lit(None).cast("string").alias("text"), "chunks")
-    both = src.unionByName(arrays).repartition("book", "cell").sortWithinPartitions("book", "cell", F.col("chunks").isNull())
+                lines = Lines(part.column(3).to_pylist())
+                own = np.unique(lines.chunk_line)
+                at = lines.page[own]
+                ends = np.searchsorted(lines.chunk_line, np.append(own, len(lines.page)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(part.column(1).to_numpy()[at]), pa.array(part.column(2).to_numpy()[at], pa.int32()), part.column(0).take(pa.array(at)), pa.array(lines.line_no[own], pa.int32()),
+                        pa.array(lines.keys(own), pa.string()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lines.chunk)),
+                    ],
+                    schema=_LINES,
+                )
+
+    return spread(_pages(pages)).mapInArrow(run, from_arrow_schema(_LINES))
+
+
+def chunk_filter(repeated: DataFrame) -> np.ndarray:
+    """Bits, as 64-bit words, that are set for every repeated chunk (columns book, chunk): FILTER_BITS at most."""
+    count = repeated.count()
+    bits = min(FILTER_BITS, 1 << max(10, (count * BITS_A_CHUNK).bit_length()))
+    at = F.col("book").bitwiseXOR(F.col("chunk")).bitwiseAND(F.lit(bits - 1))
+    words = repeated.select(at.alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, int(at & 63))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # bits / 64 rows
+    out = np.zeros(bits // 64, np.int64)
+    out[words["word"].to_numpy(int)] = words["bits"].to_numpy(np.int64)
+    return out
+
+
+def candidates(lines: DataFrame, bits: np.ndarray) -> DataFrame:
+    """Lines with a chunk that the filter lets pass: ``book, extraction_id, page, line_no, key``."""
+    known = lines.sparkSession.sparkContext.broadcast(bits)  # FILTER_BITS at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, known = None, np.empty(0, np.int64)
         for batch in batches:
-            book, cell = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            heads = np.flatnonzero(np.asarray(batch.column(5).is_valid()))
-            turns = np.flatnonzero((book[1:] != book[:-1]) | (cell[1:] != cell[:-1])) + 1
-            edges = np.unique(np.concatenate(([0], turns, heads, heads + 1, [len(book)])))
-            heads = set(heads.tolist())
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if a in heads:
-                    now, known = (book[a], cell[a]), np.sort(np.array(batch.column(5)[a].as_py(), np.int64))
-                    continue
-                if now != (book[a], cell[a]) or not len(known):
-                    continue
-                for lo in range(a, b, 400):
-                    part = batch.slice(lo, min(400, b - lo))
-                    lines = Lines(part.column(4).to_pylist())
-                    if not len(lines.chunk):
-                        continue
-                    where = np.minimum(np.searchsorted(known, lines.chunk), len(known) - 1)
-                    found = np.unique(lines.chunk_line[known[where] == lines.chunk])
-                    at = lines.page[found]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(part.column(0).to_numpy()[at]),
-                            part.column(2).take(pa.array(at)),
-                            pa.array(part.column(3).to_numpy()[at], pa.int32()),
-                            pa.array(lines.line_no[found], pa.int32()),
-                            pa.array([lines.key(x) for x in found.tolist()], pa.string()),
-                        ],
-                        ["book", "extraction_id", "page", "line_no", "key"],
-                    )
-
-    return both.mapInArrow(run, "book bigint, extraction_id bigint, page int, line_no int, key string")
+            chunks = batch.column(5)
+            size = np.asarray(chunks.value_lengths())
+            value, book = np.asarray(chunks.flatten()), np.repeat(batch.column(0).to_numpy(), size)
+            at = (value ^ book) & (len(known.value) * 64 - 1)
+            passes = (known.value[at >> 6] >> (at & 63)) & 1
+            some = np.bincount(np.repeat(np.arange(len(size)), size)[passes == 1], minlength=len(size)) > 0
+            yield batch.select([0, 2, 1, 3, 4]).filter(pa.array(some))
+
+    return lines.mapInArrow(run, "book bigint, extraction_id bigint, page int, line_no int, key string")
 
 
 def repeated_lines(pages: DataFrame) -> DataFrame:
@@ -176,19 +165,19 @@ def repeated_lines(pages: DataFrame) -> DataFrame:
     pages without number count as one page.  Repeated rows and extractions
     count once a page, and each occurrence is a row.  Empty tables give none.
     """
-    sizes = _pages(pages).groupBy("book", "page").agg(F.count("*").alias("n")).groupBy("book").agg(F.sum("n").alias("rows"), F.count("*").alias("pages"))
-    sizes = staged(sizes.withColumn("least", F.greatest(F.lit(float(MIN_PAGES)), F.col("pages") * MIN_SHARE)), "books")
-    repeated = chunk_pages(pages).join(sizes.select("book", "least"), "book").where("pages >= greatest(2, least / 2)")
-    lines = staged(_candidates(pages, repeated.select("book", "chunk"), sizes), "lines")
-    # frequent keys of a book: at most twenty times the lines of a page
+    sizes = _pages(pages).groupBy("book", "page").agg(F.lit(1)).groupBy("book").agg(F.count("*").alias("pages"))
+    sizes = staged(sizes.withColumn("least", F.greatest(F.lit(float(MIN_PAGES)), F.col("pages") * MIN_SHARE)).select("book", "least"), "books")
+    whole = staged(chunked_lines(pages), "chunks")
+    often = whole.select("book", F.explode("chunks").alias("chunk")).groupBy("book", "chunk").agg(F.count("*").alias("n")).where("n > 1")
+    bits = chunk_filter(often.join(sizes, "book").where("n >= greatest(2, least / 2)").select("book", "chunk"))
+    lines = staged(candidates(whole, bits), "lines")
     per_key = lines.select("book", "key", "page").distinct().groupBy("book", "key").agg(F.count("*").alias("pages"))
-    per_key = staged(per_key.join(sizes.select("book", "least"), "book"), "keys")
+    per_key = staged(per_key.join(sizes, "book"), "keys")
+    # frequent keys of a book: at most twenty times the lines of a page; each meets the keys of like length
     centres = per_key.where("pages >= greatest(2, 0.75 * least)").select("book", F.col("key").alias("centre"), "least")
-    near = F.when(F.length("centre") < 16, 1).when(F.length("centre") < 40, 2).otherwise(3)
-    close = (F.col("key") == F.col("centre")) | (
-        (F.abs(F.length("key") - F.length("centre")) <= near) & F.expr("levenshtein(key, centre, case when length(centre) < 16 then 1 when length(centre) < 40 then 2 else 3 end) >= 0")
-    )
-    member = staged(per_key.select("book", "key").join(centres, "book").where(close), "members")
+    centres = centres.withColumn("length", F.expr(f"explode(sequence(length(centre) - {MISREAD}, length(centre) + {MISREAD}))"))
+    keys = per_key.select("book", "key", F.length("key").alias("length"))
+    member = staged(keys.join(centres, ["book", "length"]).where(F.expr(f"key = centre or levenshtein(key, centre, {MISREAD}) >= 0")).drop("length"), "members")
     cases = lines.join(member, ["book", "key"])
     pages_of = cases.select("book", "centre", "least", "page").distinct().groupBy("book", "centre", "least").agg(F.count("*").alias("pages"))
     kept = pages_of.where("pages >= least").select("book", "centre")

@@ -305,7 +305,8 @@ def sketch_of(counts: DataFrame) -> np.ndarray:
 def frequent(counts: DataFrame, fixes: DataFrame) -> list[str]:
     """Frequent words that are no misreadings: at most 1 / FREQUENT of them."""
     total = counts.agg(F.sum("n")).first()[0] or 0
-    often = counts.where(F.col("n") >= max(1.0, total * FREQUENT)).join(fixes.select("token"), "token", "left_anti")
+    least = F.when(F.col("token").contains("-"), 1.0).otherwise(float(MIN_COUNT))
+    often = counts.where(F.col("n") >= F.greatest(least, F.lit(total * FREQUENT))).join(fixes.select("token"), "token", "left_anti")
     return [r[0] for r in often.select("token").collect()]
 
 

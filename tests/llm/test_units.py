@@ -95,10 +95,15 @@ def test_chunks_ignore_case_digits_and_signs():
     a = repeats.Lines(["12 THE OLD ANNALS OF BARTORA.\nsome body text of the page goes here"])
     b = repeats.Lines(["other text before it, quite long\nThe Old Annals of Bar-tora — 99"])
     assert set(a.chunk[a.chunk_line == 0]) == set(b.chunk[b.chunk_line == 1])
-    assert a.key(0) == "theoldannalsofbartora"
+    assert a.keys(np.array([0])) == ["theoldannalsofbartora"]
     assert len(repeats.Lines([""]).chunk) == 0
 
 
+def test_letters_beyond_the_bmp_count():
+    grantha = "".join(map(chr, range(0x11305, 0x1130D)))
+    assert repeats.Lines([grantha + " 1"]).keys(np.array([0])) == [grantha] and repeats.Lines(["😀" * 20]).chunk.size == 0
+
+
 def test_every_line_has_two_chunks():
     r = random.Random(1)
     text = "\n".join("".join(r.choice("abcdefgh ") for _ in range(r.randint(12, 60))) for _ in range(300))
