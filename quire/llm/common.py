@@ -5,9 +5,12 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +56,44 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A filter of hashes has so many bits at most, and so many a hash if that is less.
+FILTER_BITS, BITS_A_HASH = 1 << 25, 16
+
+
+def hash_filter(hashes: DataFrame) -> np.ndarray:
+    """Bits, as 64-bit words, of which one is set for each hash (the only column): FILTER_BITS at most."""
+    (name,) = hashes.columns
+    hashes = staged(hashes, "hashes")
+    bits = min(FILTER_BITS, 1 << max(10, (hashes.count() * BITS_A_HASH).bit_length()))
+    at = F.col(name).bitwiseAND(F.lit(bits - 1))
+    words = hashes.select(at.alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, int(at & 63))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # bits / 64 rows
+    out = np.zeros(bits // 64, np.int64)
+    out[words["word"].to_numpy(int)] = words["bits"].to_numpy(np.int64)
+    return out
+
+
+def passing(rows: DataFrame, hashes: str, bits: np.ndarray) -> DataFrame:
+    """Rows of which a hash of the array column ``hashes`` is in the filter: all that belong, and some by chance.
+
+    The column itself goes no further.
+    """
+    known = rows.sparkSession.sparkContext.broadcast(bits)  # FILTER_BITS at most
+    kept = [c for c in rows.columns if c != hashes]
+    at = rows.columns.index(hashes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = known.value
+        for batch in batches:
+            lists = batch.column(at)
+            size = np.asarray(lists.value_lengths().fill_null(0))
+            own = np.repeat(np.arange(len(size)), size)
+            h = np.asarray(lists.flatten()) & (len(words) * 64 - 1)
+            some = np.bincount(own[((words[h >> 6] >> (h & 63)) & 1) == 1], minlength=len(size)) > 0
+            yield batch.select(kept).filter(pa.array(some))
+
+    return rows.mapInArrow(run, rows.select(*kept).schema)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark._jvm

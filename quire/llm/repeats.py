@@ -22,14 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from quire.llm.common import expand, fold_letters, letters, spread, staged, table
+from quire.llm.common import expand, fold_letters, hash_filter, letters, passing, spread, staged, table
 
 #: A chunk ends on average after so many letters; letters of the rolling window.
 MEAN_CHUNK, WINDOW = 16, 4
 #: Least letters of a line, least pages, least part of the book's pages.
 MIN_LETTERS, MIN_PAGES, MIN_SHARE = 8, 4, 0.1
-#: The filter of repeated chunks has so many bits at most, and so many a chunk if that is less.
-FILTER_BITS, BITS_A_CHUNK = 1 << 27, 32
 #: Most misread letters of a line of less than 16, 40 and of more letters.
 MISREAD = "case when length(centre) < 16 then 1 when length(centre) < 40 then 2 else 3 end"
 
@@ -129,34 +127,6 @@ def chunked_lines(pages: DataFrame) -> DataFrame:
     return spread(_pages(pages)).mapInArrow(run, from_arrow_schema(_LINES))
 
 
-def chunk_filter(repeated: DataFrame) -> np.ndarray:
-    """Bits, as 64-bit words, that are set for every repeated chunk (columns book, chunk): FILTER_BITS at most."""
-    count = repeated.count()
-    bits = min(FILTER_BITS, 1 << max(10, (count * BITS_A_CHUNK).bit_length()))
-    at = F.col("book").bitwiseXOR(F.col("chunk")).bitwiseAND(F.lit(bits - 1))
-    words = repeated.select(at.alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, int(at & 63))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # bits / 64 rows
-    out = np.zeros(bits // 64, np.int64)
-    out[words["word"].to_numpy(int)] = words["bits"].to_numpy(np.int64)
-    return out
-
-
-def candidates(lines: DataFrame, bits: np.ndarray) -> DataFrame:
-    """Lines with a chunk that the filter lets pass: ``book, extraction_id, page, line_no, key``."""
-    known = lines.sparkSession.sparkContext.broadcast(bits)  # FILTER_BITS at most
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            chunks = batch.column(5)
-            size = np.asarray(chunks.value_lengths())
-            value, book = np.asarray(chunks.flatten()), np.repeat(batch.column(0).to_numpy(), size)
-            at = (value ^ book) & (len(known.value) * 64 - 1)
-            passes = (known.value[at >> 6] >> (at & 63)) & 1
-            some = np.bincount(np.repeat(np.arange(len(size)), size)[passes == 1], minlength=len(size)) > 0
-            yield batch.select([0, 2, 1, 3, 4]).filter(pa.array(some))
-
-    return lines.mapInArrow(run, "book bigint, extraction_id bigint, page int, line_no int, key string")
-
-
 def repeated_lines(pages: DataFrame) -> DataFrame:
     """``extraction_id, line_no`` of every line that stands on at least a tenth,
     and at least four, of its book's pages.
@@ -169,8 +139,9 @@ def repeated_lines(pages: DataFrame) -> DataFrame:
     sizes = staged(sizes.withColumn("least", F.greatest(F.lit(float(MIN_PAGES)), F.col("pages") * MIN_SHARE)).select("book", "least"), "books")
     whole = staged(chunked_lines(pages), "chunks")
     often = whole.select("book", F.explode("chunks").alias("chunk")).groupBy("book", "chunk").agg(F.count("*").alias("n")).where("n > 1")
-    bits = chunk_filter(often.join(sizes, "book").where("n >= greatest(2, least / 2)").select("book", "chunk"))
-    lines = staged(candidates(whole, bits), "lines")
+    bits = hash_filter(often.join(sizes, "book").where("n >= greatest(2, least / 2)").select(F.col("book").bitwiseXOR(F.col("chunk")).alias("h")))
+    own = F.transform("chunks", lambda x: x.bitwiseXOR(F.col("book")))
+    lines = staged(passing(whole.select("book", "extraction_id", "page", "line_no", "key", own.alias("h")), "h", bits), "lines")
     per_key = lines.select("book", "key", "page").distinct().groupBy("book", "key").agg(F.count("*").alias("pages"))
     per_key = staged(per_key.join(sizes, "book"), "keys")
     # frequent keys of a book: at most twenty times the lines of a page; each meets the keys of like length

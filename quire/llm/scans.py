@@ -14,10 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
-from quire.llm.common import letters, spread, staged, table
+from quire.llm.common import hash_filter, letters, passing, spread, staged, table
 from quire.llm.words import MAX_CHARS, NUMBER, TOKEN, choose, fold, frequent, lexicon, plain, token
 
 #: Lines at either edge of a page among which furniture stands.
@@ -123,7 +124,16 @@ class Scanner:
         return out
 
 
+def _bare(c: Column) -> Column:
+    """A title without the word and number of its chapter."""
+    return F.regexp_replace(F.trim(c), r"(?i)^\s*(?:chapter|chap|book|part|section)\b\.?\s*[ivxlcdm\d]+\s*[.:—–-]*\s*", "")
+
+
+_MARKS = pa.schema([("extraction_id", pa.int64()), ("book_id", pa.string()), ("page_number", pa.int32()), ("line_no", pa.int32()), ("what", pa.string()), ("value", pa.string()), ("first", pa.int32()), ("before", pa.string()), ("after", pa.string()), ("heading", pa.bool_())])
+
+
 def _marks(pages: DataFrame, often: list[str]) -> DataFrame:
+    """What ``Scanner.page`` finds, with the page of edge lines and whether they are its heading; title pages have no edge."""
     known = pages.sparkSession.sparkContext.broadcast(often)  # at most 1 / FREQUENT words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,17 +141,19 @@ def _marks(pages: DataFrame, often: list[str]) -> DataFrame:
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                rows, ids = [], []
-                for e, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    found = scanner.page(t)
-                    rows += found
-                    ids += [e] * len(found)
-                cols = list(zip(*rows, strict=True)) if rows else [()] * 6
-                kinds = [pa.int32(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], ["extraction_id", "line_no", "what", "value", "first", "before", "after"])
+                rows = []
+                for e, b, p, heading, titles, t in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                    for no, what, value, first, before, after in scanner.page(t):
+                        if what != "edge":
+                            rows.append((e, None, None, no, what, value, first, before, after, None))
+                        elif not titles:
+                            rows.append((e, b, p, no, what, value, first, "", "", value == heading))
+                cols = list(zip(*rows, strict=True)) if rows else [()] * len(_MARKS)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _MARKS, strict=True)], schema=_MARKS)
 
-    src = pages.where(F.col("text").rlike(r"\S")).select(F.col("extraction_id").cast("long"), "text")
-    return spread(src).mapInArrow(run, "extraction_id bigint, line_no int, what string, value string, first int, before string, after string")
+    heading = _letters_sql(_bare(F.coalesce("chapter_heading", F.lit(""))))
+    src = pages.where(F.col("text").rlike(r"\S")).select(F.col("extraction_id").cast("long"), "book_id", F.col("page_number").cast("int"), heading.alias("heading"), F.coalesce(F.col("page_type") == "title", F.lit(False)).alias("titles"), "text")
+    return spread(src).mapInArrow(run, from_arrow_schema(_MARKS))
 
 
 def _chosen(looked: DataFrame, sketch: np.ndarray) -> DataFrame:
@@ -164,21 +176,19 @@ def _letters_sql(c):
 
 def titles(pages: DataFrame, books: DataFrame, chapters: DataFrame) -> DataFrame:
     """``book_id, title`` (letters) of books, chapters and chapter headings."""
-    bare = lambda c: F.regexp_replace(F.trim(c), r"(?i)^\s*(?:chapter|chap|book|part|section)\b\.?\s*[ivxlcdm\d]+\s*[.:—–-]*\s*", "")
     all_ = (
         books.select("book_id", F.col("title").alias("t"))
-        .unionByName(chapters.select("book_id", bare(F.col("title")).alias("t")))
-        .unionByName(pages.where("chapter_heading is not null").select("book_id", bare(F.col("chapter_heading")).alias("t")))
+        .unionByName(chapters.select("book_id", _bare(F.col("title")).alias("t")))
+        .unionByName(pages.where("chapter_heading is not null").select("book_id", _bare(F.col("chapter_heading")).alias("t")))
     )
     return all_.select("book_id", _letters_sql("t").alias("title")).where("length(title) >= 4").distinct()
 
 
-def section_titles(marks: DataFrame, pages: DataFrame, books: DataFrame) -> DataFrame:
+def section_titles(marks: DataFrame, books: DataFrame) -> DataFrame:
     """``book_id, title`` of sections that no table names: titled edge lines that
     stand on SECTION_PAGES pages or more of one book and of no other, and don't
     name the collection, as its notices do."""
-    at = pages.where("page_type is null or page_type <> 'title'").select(F.col("extraction_id").cast("long"), "book_id", "page_number").distinct()
-    rows = marks.where("what = 'edge' and first = 1").select("extraction_id", "value").join(at, "extraction_id").select("book_id", "value", "page_number").distinct()
+    rows = marks.where("what = 'edge' and first = 1 and book_id is not null").select("book_id", "value", "page_number").distinct()
     per = rows.groupBy("book_id", "value").agg(F.count("*").alias("n"))
     often = per.groupBy("value").agg(F.max("n").alias("n"), F.count("*").alias("books"), F.max_by("book_id", "n").alias("book_id")).where(f"n >= {SECTION_PAGES} and books = 1")
     host = books.groupBy("book_id").agg(F.max(_letters_sql("source")).alias("host"))
@@ -191,34 +201,32 @@ def near_titles(keys: DataFrame, title: DataFrame) -> DataFrame:
 
     Titles of less than 16 letters are compared with every line of a like length.
     For the others a line is cut into more pieces than letters may be misread
-    (5 from 28 letters on, else 4), so one piece stands unchanged in the title.
+    (5 from 28 letters on, else 4), so one piece stands unchanged in the title; a
+    filter of fixed size lets no other line pass but by chance.
     """
-    bound = F.expr(f"levenshtein(key, title, {EDITS}) >= 0")
-    short = title.where("length(title) < 16").withColumn("probe", F.expr(f"explode(transform(sequence(length(title) - {EDITS}, length(title) + {EDITS}), n -> string(n)))"))
-    size = lambda n: f"({n}) div if({n} < 28, 4, 5)"
-    spans = f"array_distinct(transform(sequence(length(title) - {EDITS}, length(title) + {EDITS}), n -> int({size('n')})))"
-    parts = f"flatten(transform({spans}, m -> transform(sequence(1, length(title) - m + 1), i -> substring(title, i, m))))"
-    long = title.where("length(title) >= 16").withColumn("probe", F.expr(f"explode(array_distinct({parts}))"))
+    size = lambda n: f"int(({n}) div if({n} < 28, 4, 5))"
+    lengths = f"sequence(length(title) - {EDITS}, length(title) + {EDITS})"
+    parts = f"flatten(transform(array_distinct(transform({lengths}, n -> {size('n')})), m -> transform(sequence(1, length(title) - m + 1), i -> substring(title, i, m))))"
+    probes = F.expr(f"array_distinct(transform(if(length(title) < 16, transform({lengths}, n -> string(n)), {parts}), x -> xxhash64(book_id, x)))")
+    bits = hash_filter(title.select(F.explode(probes).alias("h")))
     n = "if(length(key) < 28, 4, 5)"
-    pieces = f"transform(sequence(0, {n} - 1), i -> substring(key, int(i * length(key) div {n}) + 1, int({size('length(key)')})))"
+    pieces = f"transform(sequence(0, {n} - 1), i -> substring(key, int(i * length(key) div {n}) + 1, {size('length(key)')}))"
+    own = f"concat(if(length(key) <= 17, array(string(length(key))), array()), if(length(key) >= 13, {pieces}, array()))"
     # lines that no title is like in length go no further
-    like = title.select("book_id", F.expr(f"explode(sequence(length(title) - {EDITS}, length(title) + {EDITS}))").alias("n")).distinct()
-    keys = keys.withColumn("n", F.length("key")).join(like, ["book_id", "n"], "left_semi").drop("n")
-    by_length = keys.where("length(key) <= 17").withColumn("probe", F.expr("string(length(key))"))
-    by_piece = keys.where("length(key) >= 13").withColumn("probe", F.expr(f"explode(array_distinct({pieces}))"))
-    close = [a.join(b, ["book_id", "probe"]).where(bound).select("book_id", "key") for a, b in ((by_length, short), (by_piece, long))]
-    return close[0].unionByName(close[1]).distinct()
+    like = title.select("book_id", F.expr(f"explode({lengths})").alias("n")).distinct()
+    at = keys.withColumn("n", F.length("key")).join(like, ["book_id", "n"], "left_semi").select("book_id", "key", F.expr(f"transform({own}, x -> xxhash64(book_id, x))").alias("h"))
+    near = passing(at, "h", bits).select("book_id", "key", F.length("key").alias("n"))
+    blocks = title.select("book_id", "title", F.expr(f"explode({lengths})").alias("n"))
+    return near.join(blocks, ["book_id", "n"]).where(F.expr(f"levenshtein(key, title, {EDITS}) >= 0")).select("book_id", "key").distinct()
 
 
-def _running(marks: DataFrame, pages: DataFrame, title: DataFrame) -> DataFrame:
+def _running(marks: DataFrame, title: DataFrame) -> DataFrame:
     """Edge lines that repeat a title of their book, exactly or but for misread characters."""
-    bare = F.regexp_replace(F.trim(F.coalesce("chapter_heading", F.lit(""))), r"(?i)^\s*(?:chapter|chap|book|part|section)\b\.?\s*[ivxlcdm\d]+\s*[.:—–-]*\s*", "")
-    of = pages.where("page_type is null or page_type <> 'title'").select(F.col("extraction_id").cast("long"), "book_id", _letters_sql(bare).alias("heading"))
-    edge = marks.where("what = 'edge'").join(of.dropDuplicates(["extraction_id"]), "extraction_id").where("value <> heading")
-    keys = staged(edge.groupBy("book_id", F.col("value").alias("key")).count(), "edge")
-    exact = keys.join(title, (keys.book_id == title.book_id) & (keys.key == title.title), "left_semi").select("book_id", "key")
-    hit = exact.unionByName(near_titles(keys.select("book_id", "key"), title)).distinct()
-    return edge.join(hit.withColumnRenamed("key", "value"), ["book_id", "value"]).select("extraction_id", "line_no")
+    edge = marks.where("what = 'edge' and not heading and book_id is not null").select("extraction_id", "line_no", "book_id", F.col("value").alias("key"))
+    keys = staged(edge.select("book_id", "key").distinct(), "edge")
+    exact = keys.join(title.withColumnRenamed("title", "key"), ["book_id", "key"], "left_semi")
+    hit = exact.unionByName(near_titles(keys, title)).distinct()
+    return edge.join(hit, ["book_id", "key"], "left_semi").select("extraction_id", "line_no")
 
 
 def noise(pages: DataFrame, books: DataFrame, chapters: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -239,7 +247,7 @@ def noise(pages: DataFrame, books: DataFrame, chapters: DataFrame) -> tuple[Data
         marks.where("what = 'digits'").select("extraction_id", "line_no", F.lit("misread").alias("kind")),
         marks.where("what = 'broken'").select("extraction_id", "line_no", F.lit("broken_word").alias("kind")),
         marks.where("what = 'number'").select("extraction_id", "line_no", F.lit("page_number").alias("kind")),
-        _running(marks, pages, staged(titles(pages, books, chapters).unionByName(section_titles(marks, pages, books)).distinct(), "titles")).withColumn("kind", F.lit("running_head")),
+        _running(marks, staged(titles(pages, books, chapters).unionByName(section_titles(marks, books)).distinct(), "titles")).withColumn("kind", F.lit("running_head")),
     ]
     out = kinds[0]
     for k in kinds[1:]:
