@@ -1,19 +1,28 @@
 """Problem 2: template residue, filler, error pages and script notices.
 
-Three kinds of evidence are combined.  Placeholder detectors find unfilled
-fields anywhere in a response.  What is left of a short response without page
-furniture is compared, in its terms, with the book's address slug and title: a
-response that shares nothing with its book and speaks of servers, scripts or
-sessions is not a page.  Host evidence tells whether the same low-information
-response came back for several books of a source or of several sources.
+Placeholder detectors find unfilled fields anywhere in a response.  For the rest
+three kinds of evidence are combined, and no phrase decides alone:
+
+* low information: the same response came back for several books, or it repeats
+  itself, or phrases of filler, errors or notices make up a good part of it;
+* host evidence: of how many books and of how many sources it came back;
+* mismatch: its terms are not those of the book's address slug, title and
+  heading, nor of the book's other pages.
+
+Lengths don't matter; whole responses are looked at.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import table
+from quire.llm.common import hash_filter, spread, staged, table
 
 #: Names in template marks.
 _NAME = r"[A-Za-z][A-Za-z0-9]*(?:[._][A-Za-z0-9]+)*"
@@ -30,12 +39,13 @@ PLACEHOLDERS = (
     r"(?<![\p{L}\p{N}_])__" + _NAME + r"__(?![\p{L}\p{N}_])",
     r"(?<![\p{L}\p{N}\\$])\{[A-Za-z]{3,}(?:[._][A-Za-z0-9]+)*\}",
     r"(?i)\[\s*(?:insert|add|enter|put|paste)\s[\p{L}\s]{2,60}?\]",
-    r"(?i)\[[\p{L}\s]{2,60}?\s(?:to come|goes here|tbd|to be (?:supplied|added|inserted))\]",
+    r"(?i)\[[\p{L}\s]{2,60}?\s(?:to come|goes here|tbd|pending|forthcoming|to be (?:supplied|added|inserted))\s*\]",
 )
 #: Words of the usual filler text.
 FILLER_WORDS = (
     "lorem ipsum dolor sit amet consectetur adipiscing adipisicing elit sed do eiusmod tempor incididunt ut labore et dolore "
-    "magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat"
+    "magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat "
+    "duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum"
 ).split()
 #: Sentences that stand for a text still to come.
 FILLER_PHRASES = r"(?i)\b(?:placeholder (?:for|text)|sample text|dummy text|text goes here|insert the text|replace with the|to be supplied by)\b|\btodo\b\s*:|\byour (?:caption|title|text) here\b|\bcontent (?:goes|to come)\b"
@@ -56,68 +66,153 @@ NOTICES = (
 )
 #: Remarks that a page is blank or holds nothing to read: no cases.
 REMARKS = r"(?i)\[?blank page\]?|appears? to be blank|no visible text|no text on this page|cannot transcribe|shows a decorative|contains only a"
-#: A response with more letters than this has content beside a message.
+#: For problem 6: a message with more letters than this may have a page beside it.
 SHORT = 700
+#: Sentences with a phrase make up this part of a message's letters at least.
+COVER = 0.25
+#: Where they make up this part, common terms are no sign of a page.
+WHOLLY = 0.8
+#: A response is repeated if it came back for so many books, and for one more for every so many of its distinct words.
+BOOKS, WORDS_A_BOOK = 2, 8
+#: Distinct words over words, and pairs over pairs, at most, of a response of so many words that repeats itself.
+VARIETY, WORDS = 0.5, 4
+#: A response mismatches its book if at most this part of its terms stands on other pages
+#: of it: of one that repeats itself or is repeated, of one with a phrase, of a repeated one with a phrase.
+KNOWN, KNOWN_SAID, KNOWN_BOTH = 0.5, 0.85, 0.95
+#: Letters of a term.
+TERM = 4
 
 
 def _slug_terms(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), r"[^\p{L}\p{M}]+"), lambda w: F.length(w) >= 5)
 
 
+def _plain(c: Column) -> Column:
+    """Without invisible characters, signs of templates in their usual form."""
+    out = F.regexp_replace(F.coalesce(c, F.lit("")), "[​‌‍⁠﻿­]", "")
+    return F.translate(out, "｛｝［］％＜＞＠＄    　", "{}[]%<>@$     ")
+
+
+def _covered(left: Column, pattern: str) -> Column:
+    """Part of the letters of a text that stands in sentences with the pattern."""
+    letters = lambda x: F.length(F.regexp_replace(x, r"[^\p{L}\p{N}]+", ""))
+    parts = F.split(F.regexp_replace(left, r"\s+", " "), r"(?<=[.!?।]) ")
+    hit = F.aggregate(F.filter(parts, lambda x: x.rlike(pattern)), F.lit(0), lambda n, x: n + letters(x))
+    return F.coalesce(F.try_divide(hit, letters(left)), F.lit(0.0))
+
+
 def responses(pages: DataFrame, books: DataFrame) -> DataFrame:
-    """Evidence of each extraction: placeholder, filler, error, notice, mismatch, hosts.
+    """Evidence of each extraction as it stands: placeholder, filler, error, notice, dull (it repeats itself), response (its form).
 
     Null raw_text counts as empty: nothing is found in it.  Books without title
     or source, and pages of unknown books, are judged by the slug alone.
     """
-    raw = F.regexp_replace(F.coalesce("raw_text", F.lit("")), "[​‌‍⁠﻿­]", "")
-    raw = F.translate(raw, "｛｝［］％＜＞＠＄    　", "{}[]%<>@$     ")
     b = books.groupBy("book_id").agg(F.max("title").alias("title"), F.max("source").alias("source"))
-    p = pages.select("extraction_id", "book_id", "page_number", "chapter_heading", raw.alias("raw")).join(b, "book_id", "left")
+    p = pages.select("extraction_id", "book_id", "page_number", "page_type", "chapter_heading", _plain(F.col("raw_text")).alias("raw")).join(b, "book_id", "left")
     marks = F.col("raw").rlike(r"[{\[<@%$_]")
-    placeholder = F.when(marks, F.col("raw").rlike("|".join(f"(?:{x})" for x in PLACEHOLDERS))).otherwise(False)
-    short = F.length(F.regexp_replace(F.substring("raw", 1, 4 * SHORT), r"\s+", "")) <= SHORT
-    p = p.withColumns({"placeholder": placeholder, "short": short & (F.length("raw") <= 4 * SHORT)})
+    p = p.withColumn("placeholder", F.when(marks, F.col("raw").rlike("|".join(f"(?:{x})" for x in PLACEHOLDERS))).otherwise(False))
     # furniture: lines that hold the book's own words, a number, or the host's navigation
     own = F.array_union(F.array_union(_slug_terms(F.coalesce("book_id", F.lit(""))), _slug_terms(F.coalesce("title", F.lit("")))), _slug_terms(F.coalesce("chapter_heading", F.lit(""))))
     host = F.regexp_replace(F.lower(F.coalesce("source", F.lit(""))), "_", " ")
-    lines = F.filter(F.split("raw", r"\n"), lambda x: F.trim(x) != "")
+    p = p.withColumns({"own": own, "longest": F.greatest(F.length(F.coalesce("title", F.lit(""))), F.length(F.coalesce("chapter_heading", F.lit(""))), F.length(F.coalesce("book_id", F.lit("")))) * 2 + 40})
     lines = F.filter(
-        lines,
-        lambda x: ~(
-            F.regexp_replace(x, r"[^\p{L}]+", "").rlike(r"^(?i:[ivxlc]{0,8}|page|p)$")
+        F.split("raw", r"\n"),
+        lambda x: (F.length(x) > F.col("longest")) | ~(
+            (F.trim(x) == "")
+            | F.regexp_replace(x, r"[^\p{L}]+", "").rlike(r"^(?i:[ivxlc]{0,8}|page|p)$")
             | (F.lower(F.trim(x)) == host)
             | x.rlike(r"(?i)^\s*home \|")
             | (F.size(F.array_intersect(_slug_terms(x), F.col("own"))) * 2 > F.size(_slug_terms(x)))
         ),
-    )
-    p = p.withColumn("own", F.when(F.col("short"), own))
-    p = p.withColumn("left", F.when(F.col("short"), F.array_join(lines, "\n")).otherwise(""))
-    words = F.filter(F.split(F.lower(F.col("raw")), r"[^\p{L}]+"), lambda w: w != "")
-    unwrapped = F.filter(F.split(F.lower(F.regexp_replace("raw", r"\n", "")), r"[^\p{L}]+"), lambda w: w != "")
-    head = F.lower(F.substring("raw", 1, 4000))
+    )
+    p = p.withColumn("left", F.array_join(lines, "\n"))
     known = F.array(*map(F.lit, FILLER_WORDS))
-    share = lambda w: F.try_divide(F.size(F.filter(w, lambda x: F.array_contains(known, x))), F.size(w))
-    maybe = head.rlike(r"lorem|ipsum|eiusmod|consectetur")
-    p = p.withColumn("filler", F.when(maybe, (F.size(words) >= 5) & (F.greatest(share(words), share(unwrapped)) >= 0.6)).otherwise(False) | F.col("left").rlike(FILLER_PHRASES))
+    split = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{M}]+"), lambda w: w != "")
+    share = lambda w: F.coalesce(F.try_divide(F.size(F.filter(w, lambda x: F.array_contains(known, x))), F.size(w)), F.lit(0.0))
+    maybe = F.lower("raw").rlike(r"lorem|ipsum|eiusmod|consectetur")
+    words, unwrapped = split(F.col("raw")), split(F.regexp_replace("raw", r"\n", ""))
+    lorem = F.when(maybe, (F.size(words) >= 5) & (F.greatest(share(words), share(unwrapped)) >= 0.6)).otherwise(False)
     remark = F.col("left").rlike(REMARKS)
-    p = p.withColumns({"error": ~remark & F.col("left").rlike(ERRORS), "notice": ~remark & F.col("left").rlike(NOTICES)})
-    terms = F.filter(F.split(F.lower("left"), r"[^\p{L}\p{M}]+"), lambda w: F.length(w) >= 5)
-    p = p.withColumn("mismatch", F.col("short") & (F.col("left") != "") & (F.size(F.array_intersect(terms, F.coalesce("own", F.array().cast("array<string>")))) * 4 <= F.size(terms)))
-    # host evidence: for how many books the same response came back
-    return p.withColumn("response", F.when(F.col("short") & (F.col("left") != ""), F.md5(F.regexp_replace(F.lower("left"), r"[\d\s]+", " "))))
+    said = lambda x, least=COVER: F.when(~remark & F.col("left").rlike(x), _covered(F.col("left"), x) >= least).otherwise(False)
+    p = p.withColumns({"words": split(F.col("left")), "remark": remark})
+    few = F.size("words") >= WORDS
+    pairs = F.zip_with(F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))), F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+    p = p.withColumns({
+        "filler": lorem | said(FILLER_PHRASES), "error": said(ERRORS), "notice": said(NOTICES), "wholly": said(FILLER_PHRASES, WHOLLY) | said(ERRORS, WHOLLY) | said(NOTICES, WHOLLY),
+        "dull": F.when(~remark & few & (F.size(F.array_distinct("words")) <= VARIETY * F.size("words")), F.size(F.array_distinct(pairs)) <= VARIETY * F.size(pairs)).otherwise(False),
+        # the form of a response: its letters; digits and names of files differ from one to the next
+        "response": F.when((F.size("words") > 0) & ~remark & F.coalesce(F.col("page_type") != "blank", F.lit(True)), F.xxhash64(F.array_join("words", " "))),
+    })
+    return p.select("extraction_id", "book_id", "source", "placeholder", "filler", "error", "notice", "wholly", "dull", "response", F.size(F.array_distinct("words")).alias("variety"), "own", "left")
+
+
+_TERMS = re.compile(rf"(?:[^\W\d_]|[\u0300-\u036fऀ-ॣॱ-ॿ\u0b80-\u0bff]){{{TERM},}}")
+
+
+def _terms(book: str | None, text: str) -> list[int]:
+    """Hashes of a book with each distinct term of a text."""
+    return [xxhash.xxh64_intdigest(f"{book}|{t}") - (1 << 63) for t in set(_TERMS.findall(text.lower()))]
+
+
+def unknown_share(suspects: DataFrame, pages: DataFrame) -> DataFrame:
+    """``extraction_id, known``: part of a suspect's terms that stand on other pages of its book.
+
+    Only the suspects' terms are counted, over all pages: a filter of fixed size
+    keeps the others out.  Pages that are suspect themselves don't count.
+    """
+
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(e, book, h) for e, book, t in zip(*[c.to_pylist() for c in b.columns], strict=True) for h in _terms(book, t)]
+            e, book, h = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()), pa.array(book, pa.string()), pa.array(h, pa.int64())], ["extraction_id", "book_id", "h"])
+
+    own = staged(suspects.select(F.col("extraction_id").cast("long"), "book_id", "left").mapInArrow(terms, "extraction_id bigint, book_id string, h bigint"), "terms")
+    bits = hash_filter(own.select("h"))
+    wanted = pages.sparkSession.sparkContext.broadcast(bits)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = wanted.value
+        top = len(words) * 64 - 1
+        for b in batches:
+            n: dict[int, int] = {}
+            for lo in range(0, b.num_rows, 500):
+                part = b.slice(lo, 500)
+                for book, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    for h in _terms(book, t or ""):
+                        at = h & top
+                        if words[at >> 6] >> (at & 63) & 1:
+                            n[h] = n.get(h, 0) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.int64()), pa.array(list(n.values()), pa.int64())], ["h", "n"])
+
+    every = spread(pages.select("book_id", _plain(F.col("raw_text")).alias("raw"))).mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+    rows = own.groupBy("h").agg(F.count("*").alias("mine"))
+    stands = every.join(rows, "h").select("h", (F.col("n") > F.col("mine")).alias("stands"))
+    per = own.join(stands, "h", "left").groupBy("extraction_id").agg(F.avg(F.coalesce("stands", F.lit(False)).cast("double")).alias("known"))
+    return per
 
 
 def residue(pages: DataFrame, books: DataFrame) -> DataFrame:
-    """``extraction_id, placeholder, filler, error, notice, repeated_in_books, found`` of each extraction."""
-    r = responses(pages, books).drop("raw", "own")
-    once = r.where("response is not null").select("response", "book_id").distinct()
-    hosts = once.groupBy("response").agg(F.count("*").alias("books")).where("books > 1")
-    r = r.join(hosts, "response", "left")
-    few = F.length(F.regexp_replace("left", r"\s+", " ")) <= 320
-    message = (F.col("error") | F.col("notice")) & F.col("mismatch") & (few | (F.coalesce("books", F.lit(0)) > 1))
-    found = F.col("placeholder") | F.col("filler") | message
-    return r.select("extraction_id", "placeholder", "filler", "error", "notice", F.coalesce("books", F.lit(1)).alias("repeated_in_books"), found.alias("found"))
+    """``extraction_id, placeholder, filler, error, notice, repeated_in_books, sources, mismatch, found`` of each extraction.
+
+    ``mismatch`` is only looked into where a response has little information.
+    Remarks that a page is blank are no residue, however often they come back.
+    """
+    r = staged(responses(pages, books), "responses")
+    # of a response that came back for one book only nothing is to be counted
+    hosts = r.where("response is not null").select("response", "book_id", "source").distinct().groupBy("response").agg(F.count("book_id").alias("books"), F.count_distinct("source").alias("sources")).where(F.col("books") >= BOOKS)
+    r = r.join(hosts, "response", "left").withColumn("repeated", F.coalesce(F.col("books") * WORDS_A_BOOK >= F.col("variety"), F.lit(False)))
+    said = F.col("filler") | F.col("error") | F.col("notice")
+    most = F.when(F.col("wholly"), 1.0).when(said & F.col("repeated"), KNOWN_BOTH).when(said, KNOWN_SAID).otherwise(KNOWN)
+    dull = F.col("filler") | F.col("error") | F.col("notice") | F.col("dull") | F.col("repeated")
+    suspects = staged(r.where(dull & ~F.col("placeholder")).select("extraction_id", "book_id", most.alias("most"), "own", "left"), "suspects")
+    terms = F.filter(F.split(F.lower("left"), r"[^\p{L}\p{M}]+"), lambda w: F.length(w) >= TERM + 1)
+    alien = F.size(F.array_intersect(terms, "own")) * 4 <= F.size(terms)
+    known = unknown_share(suspects, pages)
+    judged = suspects.select("extraction_id", "most", alien.alias("alien")).join(known, "extraction_id", "left").groupBy("extraction_id").agg(F.max((F.col("alien") & (F.coalesce("known", F.lit(1.0)) <= F.col("most"))).cast("int")).alias("mismatch"))
+    r = r.join(judged, "extraction_id", "left").withColumn("mismatch", F.coalesce(F.col("mismatch") == 1, F.lit(False)))
+    found = F.col("placeholder") | F.col("mismatch")
+    return r.select("extraction_id", "placeholder", "filler", "error", "notice", F.coalesce("books", F.lit(1)).alias("repeated_in_books"), F.coalesce("sources", F.lit(1)).alias("sources"), "mismatch", found.alias("found"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

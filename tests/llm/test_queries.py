@@ -86,6 +86,20 @@ def test_residue_cases(spark):
     assert {r["extraction_id"] for r in got} == {0, 1, 2, 3, 4}
 
 
+def test_residue_of_hosts_without_a_phrase(spark):
+    body = [{"extraction_id": 100 + i, "book_id": f"b{i % 10}", "page_number": i, "raw_text": f"The river of the {''.join(chr(97 + int(c)) for c in str(i)) * 3} year ran beyond the village, and the harvest was good."} for i in range(60)]
+    same = [{"extraction_id": i, "book_id": f"b{i}", "page_number": 1, "raw_text": "Resource limit reached. Our operators have been informed about this incident."} for i in range(8)]
+    dull = [{"extraction_id": 9, "book_id": "b9", "page_number": 2, "raw_text": "qwer qwer qwer qwer qwer"}, {"extraction_id": 10, "book_id": "b9", "page_number": 3, "raw_text": "[ content pending ]"}]
+    natural = [{"extraction_id": 20 + i, "book_id": f"b{i}", "page_number": 99, "raw_text": "The harvest of the village was good in the year of the river."} for i in range(9)]
+    blank = [{"extraction_id": 40 + i, "book_id": f"b{i}", "page_number": 98, "raw_text": "[BLANK PAGE]"} for i in range(9)]
+    lorem = {"extraction_id": 60, "book_id": "b1", "page_number": 97, "raw_text": "1\n" * 2500 + "lorem ipsum dolor sit amet duis aute irure dolor in reprehenderit"}
+    p = frame(spark, PAGES, [*body, *same, *dull, *natural, *blank, lorem])
+    b = frame(spark, BOOKS, [{"book_id": f"b{i}", "title": f"Annals {i}", "source": "s1" if i % 2 else "s2"} for i in range(10)])
+    got = residue.residue(p, b)
+    assert {r["extraction_id"] for r in got.where("found").collect()} == {*range(8), 9, 10, 60}
+    assert {(r["repeated_in_books"], r["sources"]) for r in got.where("extraction_id < 8").collect()} == {(8, 2)}
+
+
 def test_look_pairs(spark):
     rows = [(1, "copy of a"), (2, "сopy of a"), (3, "copy of a"), (4, "Copy of a"), (5, "x"), (6, "x"), (7, "")]
     p = frame(spark, PAGES, [{"extraction_id": i, "text": t} for i, t in rows])
