@@ -1,12 +1,14 @@
 """Problem 8: mix sources to target weights.
 
-Membership of a document in the domains of a mix is soft: a labelled document
-belongs to its source, an unlabelled one gets the posteriors of a classifier
-fitted on the labelled ones.  Documents with equal membership and cap are
-equivalent, so the least squares over nonnegative document rates is solved over
-their token totals: per mix one small projected-gradient problem, the mixes in
-parallel.  Rates become whole numbers by a prefix of hash order, found with two
-levels of running sums, so no source is ever gathered into one task.
+Membership of a document in the domains (the sources of the mixes) is soft: the
+posteriors of a classifier fitted on the labelled documents, and for a labelled
+document its source, as far as labels are trusted.  Rates of the documents are
+fitted by projected-gradient least squares: each step sums the expected tokens by
+domain over all groups of like documents, in parallel, and only these sums (mixes
+x domains) come back.  First the labelled documents are fitted alone; then all,
+so unlabelled ones are taken for what is still missing of a domain.  Rates become
+whole numbers by a prefix of hash order, found with two levels of running sums,
+so no source is ever gathered into one task.
 """
 
 from __future__ import annotations
@@ -26,6 +28,12 @@ from quire.llm.tokens import default_vocabulary, encoder, read_ranks
 FEATURES, FIT_ROWS = 4096, 20_000
 #: Rows of one cell of the running sums, about.
 CELL_ROWS = 20_000
+#: Most steps of the gradient for labelled documents alone and for all, and the change of a residual that ends them.
+STEPS, STILL = (6, 24), 1e-6
+#: A source reaches its target if no more than this part of it is missing.
+REACHED = 0.02
+#: Posteriors are rounded to so many digits; documents with equal ones are alike.
+DIGITS = 2
 
 
 def domain_counts(docs: DataFrame, domains: list[str], fit_rows: int = FIT_ROWS) -> np.ndarray:
@@ -49,7 +57,7 @@ def domain_counts(docs: DataFrame, domains: list[str], fit_rows: int = FIT_ROWS)
 
 
 def posteriors(docs: DataFrame, domains: list[str], counts: np.ndarray) -> DataFrame:
-    """``doc_id`` and ``q`` (array<double>, one per domain) of unlabelled documents."""
+    """``doc_id`` and ``q`` (array<double>, one per domain) of the documents."""
     logp = np.log((counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * FEATURES))
     prior = np.log((counts.sum(1) + 1) / (counts.sum() + len(counts)))
     model = docs.sparkSession.sparkContext.broadcast((logp, prior))
@@ -62,33 +70,85 @@ def posteriors(docs: DataFrame, domains: list[str], counts: np.ndarray) -> DataF
             for f in b["f"]:
                 z = prior + logp[:, np.asarray(f, dtype=int)].sum(1) if len(f) else prior
                 p = np.exp(z - z.max())
-                q.append(list((p / p.sum())[:-1]))
+                q.append(list((p / p.sum())[:-1].round(DIGITS)))
             yield pd.DataFrame({"doc_id": b["doc_id"], "q": q})
 
-    return docs.where("source is null").select("doc_id", feats.alias("f")).mapInPandas(run, "doc_id bigint, q array<double>")
+    return docs.select("doc_id", feats.alias("f")).mapInPandas(run, "doc_id bigint, q array<double>")
 
 
-def solve(tokens: np.ndarray, member: np.ndarray, cap: np.ndarray, target: np.ndarray, steps: int = 400) -> np.ndarray:
-    """Rates in [0, cap] that bring the expected domain totals to ``target``.
+def step(rate: np.ndarray, member: np.ndarray, cap: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """Rates of documents after one projected step; ``move`` is the step of each domain."""
+    return np.clip(rate + member @ move, 0.0, cap)
 
-    Projected gradient on the squared relative residuals, each group's step
-    scaled by its own curvature.
+
+def replay(moves: np.ndarray, member: np.ndarray, labelled: np.ndarray, caps: np.ndarray, alone: int) -> np.ndarray:
+    """Rates of documents of one mix after all steps so far.
+
+    ``moves`` has the steps by domain; in the first ``alone`` of them only
+    labelled documents move.  A rate depends on nothing but these and the
+    document's membership, so it isn't kept from step to step.
     """
-    scale = np.where(target > 0, target, 1.0)
-    a = (member * tokens[:, None]) / scale  # groups x domains
-    goal = (target > 0).astype(float)
-    curve = (a * a.sum(0)).sum(1)
-    rate = np.zeros(len(tokens))
-    for _ in range(steps):
-        step = a @ (a.T @ rate - goal) / np.where(curve > 0, curve, 1.0)
-        new = np.clip(rate - step, 0.0, cap)
-        if np.allclose(new, rate, rtol=0, atol=1e-12):
-            break
-        rate = new
+    rate = np.zeros(len(member))
+    for k, move in enumerate(moves):
+        new = step(rate, member, caps, move)
+        rate = np.where(labelled, new, rate) if k < alone else new
     return rate
 
 
-def mix(docs: DataFrame, targets: DataFrame, unlabelled_repeats: float = 0.0, vocabulary: str | None = None) -> DataFrame:
+def fitted(groups: DataFrame, target: np.ndarray, cap: np.ndarray, unlabelled: float) -> tuple[np.ndarray, int]:
+    """(steps by mix and domain, number of steps for labelled documents alone).
+
+    ``groups`` has q, labelled and tokens of documents that are alike; ``target``
+    and ``cap`` are mixes x domains.  Each step is one aggregation over the groups.
+    """
+    mixes, domains = target.shape
+    spark = groups.sparkSession
+
+    def totals(moves: list[np.ndarray], alone: int) -> tuple[np.ndarray, np.ndarray]:
+        known = spark.sparkContext.broadcast((np.array(moves).reshape(len(moves), mixes, domains), cap, alone))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            past, cap, alone = known.value
+            got, all_ = np.zeros((mixes, domains)), np.zeros(domains)
+            for b in batches:
+                member, labelled, tokens = _groups(b, domains)
+                all_ += tokens @ member
+                for m in range(mixes):
+                    got[m] += (replay(past[:, m], member, labelled, _caps(member, labelled, cap[m], unlabelled), alone) * tokens) @ member
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange((mixes + 1) * domains, dtype=np.int32)), pa.array(np.vstack([got, all_]).ravel())], ["at", "x"])
+
+        out = np.zeros((mixes + 1) * domains)
+        for r in groups.mapInArrow(run, "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).collect():  # mixes x domains
+            out[r["at"]] = r["x"]
+        return out[:-domains].reshape(mixes, domains), out[-domains:]
+
+    moves: list[np.ndarray] = []
+    alone, last = STEPS[0], None
+    for k in range(sum(STEPS)):
+        got, there = totals(moves, alone)
+        rest = target - got
+        if last is not None and np.abs(rest - last).max() <= STILL * max(1.0, target.max()):
+            if k >= alone:
+                break
+            alone, last = k, None
+        else:
+            last = rest
+        # the domain's own tokens are the curvature of its residual
+        moves.append(rest / np.where(there > 0, there, 1.0))
+    return np.array(moves).reshape(len(moves), mixes, domains), alone
+
+
+def _caps(member: np.ndarray, labelled: np.ndarray, cap: np.ndarray, unlabelled: float) -> np.ndarray:
+    """Most times of a document: that of its domain, or ``unlabelled`` if less."""
+    most = (member > 0) @ cap if not len(member) else np.where(member > 0, cap, 0).max(1)
+    return np.where(labelled, most, np.minimum(most, unlabelled))
+
+
+def _groups(b: pa.RecordBatch, domains: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.asarray(b.column(0).flatten(), float).reshape(b.num_rows, domains), b.column(1).to_numpy(zero_copy_only=False).astype(bool), b.column(2).to_numpy().astype(float)
+
+
+def mix(docs: DataFrame, targets: DataFrame, unlabelled_repeats: float = 1.0, vocabulary: str | None = None) -> DataFrame:
     """How often each document is taken: ``mix_id, doc_id, source, n_tokens, times``
     and the mix's total size ``mix_tokens``.
 
@@ -99,58 +159,55 @@ def mix(docs: DataFrame, targets: DataFrame, unlabelled_repeats: float = 0.0, vo
     Shares count relative to their sum within the mix; null shares, caps and
     size factors count as 0, 0 and 0.  A source that cannot reach its target
     gives every document max_repeats times; the others keep their own targets.
-    Documents of unknown source are taken only with ``unlabelled_repeats`` > 0,
-    because they can't count for a source; then at most so many times each.
+    Documents without source are taken at most ``unlabelled_repeats`` times (and
+    max_repeats of a domain they may belong to), for what is missing of domains
+    they seem to belong to; they count for no source.  A labelled document belongs
+    to its source and nothing else, as shares are judged by source.
     Null and empty texts have 0 tokens and are never taken.  Empty tables give
     no rows.  Of rows with equal doc_id each counts as a document of its own.
     """
     spark = docs.sparkSession
     rows = (
         targets.select("mix_id", "source", F.coalesce("target_share", F.lit(0.0)).alias("share"), F.coalesce("max_repeats", F.lit(0)).alias("cap"), F.coalesce("size_factor", F.lit(0.0)).alias("size"))
-        .where("source is not null")
+        .where("source is not null and mix_id is not null")
         .groupBy("mix_id", "source")
         .agg(F.sum("share").alias("share"), F.max("cap").alias("cap"), F.max("size").alias("size"))
         .toPandas()
     )
-    domains = sorted(set(rows["source"]))
+    domains, mixes = sorted(set(rows["source"])), sorted(set(rows["mix_id"]))
     src = docs.select(F.col("doc_id").cast("long"), "text", "source")
     sized = staged(sizes(src, vocabulary), "sizes")
-    totals = {r["source"]: float(r["n"]) for r in sized.groupBy("source").agg(F.sum("n_tokens").alias("n")).join(F.broadcast(spark.createDataFrame([(d,) for d in domains], "source string")), "source").collect()} if domains else {}
     whole = float(sized.agg(F.sum("n_tokens")).first()[0] or 0)
-    soft = None
-    if unlabelled_repeats > 0 and domains:
-        q = posteriors(src, domains, domain_counts(src, domains)).withColumn("q", F.transform("q", lambda x: F.round(x, 2)))
-        soft = staged(sized.where("source is null").join(q, "doc_id"), "soft")
-    groups = []  # mix, group, source, tokens, membership, cap, share, size
+    out = "mix_id string, doc_id bigint, source string, n_tokens bigint, times int, mix_tokens double"
+    if not domains or not whole:
+        return spark.createDataFrame([], out)
+    target, cap, total = np.zeros((len(mixes), len(domains))), np.zeros((len(mixes), len(domains))), np.zeros(len(mixes))
     for r in rows.itertuples():
-        member = [float(d == r.source) for d in domains]
-        groups.append((r.mix_id, r.source, totals.get(r.source, 0.0), member, float(r.cap), float(r.share), float(r.size)))
-    plan = spark.createDataFrame(groups, "mix_id string, source string, tokens double, q array<double>, cap double, share double, size double")
-    if soft is not None:
-        mixes = F.explode(F.array(*[F.lit(m) for m in sorted(set(rows["mix_id"]))])).alias("mix_id")
-        plan = plan.unionByName(
-            soft.groupBy("q").agg(F.sum("n_tokens").cast("double").alias("tokens")).select(
-                mixes, F.lit(None).cast("string").alias("source"), "tokens", "q", F.lit(float(unlabelled_repeats)).alias("cap"), F.lit(0.0).alias("share"), F.lit(0.0).alias("size")
-            )
-        )
-
-    def fit(g: pd.DataFrame) -> pd.DataFrame:
-        share = np.zeros(len(domains))
-        for s, x in zip(g["source"], g["share"], strict=True):
-            if s is not None and s == s:
-                share[domains.index(s)] = x
-        total = share.sum()
-        target = share / total * whole * g["size"].max() if total > 0 else share * 0
-        rate = solve(g["tokens"].to_numpy(), np.array(g["q"].tolist()), g["cap"].to_numpy(), target)
-        return pd.DataFrame({"mix_id": g["mix_id"], "source": g["source"], "q": g["q"], "tokens": g["tokens"], "rate": rate, "mix_tokens": whole * g["size"].max()})
-
-    rates = plan.groupBy("mix_id").applyInPandas(fit, "mix_id string, source string, q array<double>, tokens double, rate double, mix_tokens double").where("rate > 0")
-    rates = rates.select("*", F.floor("rate").cast("int").alias("base"), ((F.col("rate") - F.floor("rate")) * F.col("tokens")).alias("extra"))
-    named = sized.join(F.broadcast(rates.where("source is not null").drop("q")), "source")
-    if soft is not None:
-        extra = soft.join(F.broadcast(rates.where("source is null").drop("source")), "q").drop("q")
-        named = named.unionByName(extra.select(*named.columns))
-    return _whole(named.where("n_tokens > 0"))
+        at = mixes.index(r.mix_id), domains.index(r.source)
+        target[at], cap[at], total[at[0]] = r.share, r.cap, max(total[at[0]], whole * r.size)
+    share = target.sum(1, keepdims=True)
+    target = np.where(share > 0, target / np.where(share > 0, share, 1), 0) * total[:, None]
+    soft = staged(posteriors(src.where("source is null"), domains, domain_counts(src, domains)).groupBy("doc_id").agg(F.first("q").alias("q")), "posteriors")
+    own = F.transform(F.array(*map(F.lit, domains)), lambda d: (d == F.col("source")).cast("double"))
+    member = sized.where("source is not null").select("*", own.alias("q"), F.lit(True).alias("labelled")).unionByName(sized.where("source is null").join(soft, "doc_id").withColumn("labelled", F.lit(False)))
+    groups = staged(member.where("n_tokens > 0").groupBy("q", "labelled").agg(F.sum("n_tokens").alias("tokens")), "groups")
+    moves, alone = fitted(groups, target, cap, unlabelled_repeats)
+    known = spark.sparkContext.broadcast((moves, alone, cap, total, mixes))
+
+    def rates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        moves, alone, cap, total, mixes = known.value
+        for b in batches:
+            member, labelled, tokens = _groups(b, len(domains))
+            for m, name in enumerate(mixes):
+                rate = replay(moves[:, m], member, labelled, _caps(member, labelled, cap[m], unlabelled_repeats), alone)
+                n = b.num_rows
+                yield pa.RecordBatch.from_arrays([pa.array([name] * n, pa.string()), b.column(0), b.column(1), pa.array(rate), pa.array(tokens), pa.array(np.full(n, total[m]))], ["mix_id", "q", "labelled", "rate", "tokens", "mix_tokens"])
+
+    rate = groups.mapInArrow(rates, "mix_id string, q array<double>, labelled boolean, rate double, tokens double, mix_tokens double").where("rate > 1e-9")
+    rate = rate.select("*", F.floor("rate").cast("int").alias("base"), ((F.col("rate") - F.floor("rate")) * F.col("tokens")).alias("extra")).drop("tokens")
+    # of the groups without source each is rounded on its own: one document has a group
+    named = member.where("n_tokens > 0").join(rate, ["q", "labelled"])
+    return _whole(named.withColumn("part", F.when(F.col("labelled"), F.col("source")).otherwise(F.col("q").cast("string"))).drop("q", "labelled"))
 
 
 def sizes(src: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -171,13 +228,13 @@ def sizes(src: DataFrame, vocabulary: str | None = None) -> DataFrame:
 def _whole(named: DataFrame) -> DataFrame:
     """Whole numbers of times: ``base`` for all, one more for a prefix in hash order.
 
-    The prefix of each (mix, source) ends where its tokens come nearest to
+    The prefix of each (mix, part) ends where its tokens come nearest to
     ``extra``.  Cells of the hash keep each running sum to about CELL_ROWS rows.
     """
     cells = max(1, named.count() // CELL_ROWS)
     named = named.withColumn("h", F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 40)))
     named = named.withColumn("cell", F.shiftright(F.col("h") * F.lit(min(cells, 1 << 22)), 40))
-    key = ["mix_id", "source"]
+    key = ["mix_id", "part"]
     sums = named.groupBy(*key, "cell").agg(F.sum("n_tokens").alias("t"))
     start = sums.select(*key, "cell", (F.sum("t").over(Window.partitionBy(*key).orderBy("cell")) - F.col("t")).alias("start"))
     joined = _join_null_safe(named, start, [*key, "cell"])
@@ -199,22 +256,24 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
 
 
 def shares(taken: DataFrame, targets: DataFrame) -> DataFrame:
-    """``mix_id, source, target_share, actual_share, tokens, documents`` of each target row.
+    """``mix_id, source, target_share, actual_share, tokens, documents, reached`` of each target row.
 
     ``actual_share`` is the source's tokens over the mix's total size; 0 where
-    nothing was taken of it.  A source that falls short shows an actual share below target.
+    nothing was taken of it.  A source that falls short shows an actual share below
+    target and ``reached`` false; what was taken without a source is a row of its own.
     """
     got = taken.groupBy("mix_id", "source").agg(F.sum(F.col("n_tokens") * F.col("times")).alias("tokens"), F.sum("times").alias("documents"), F.max("mix_tokens").alias("size"))
     want = targets.groupBy("mix_id", "source").agg(F.sum(F.coalesce("target_share", F.lit(0.0))).alias("w"))
     w = Window.partitionBy("mix_id")
     out = _join_null_safe_full(want, got)
-    return out.select(
+    out = out.select(
         "mix_id", "source",
         F.coalesce(F.try_divide("w", F.sum("w").over(w)), F.lit(0.0)).alias("target_share"),
         F.coalesce(F.try_divide("tokens", F.max("size").over(w)), F.lit(0.0)).alias("actual_share"),
         F.coalesce("tokens", F.lit(0)).alias("tokens"),
         F.coalesce("documents", F.lit(0)).alias("documents"),
     )
+    return out.withColumn("reached", F.col("actual_share") >= F.col("target_share") * (1 - REACHED))
 
 
 def _join_null_safe_full(want: DataFrame, got: DataFrame) -> DataFrame:

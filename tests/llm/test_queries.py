@@ -112,8 +112,20 @@ def test_mix_shares(spark, sf_dir):
     t = spark.createDataFrame([("m", "a", 1.0, 1, 0.2), ("m", "b", 1.0, 3, 0.2), ("m", "c", 2.0, 1, 0.2)], "mix_id string, source string, target_share double, max_repeats int, size_factor double")
     s = {r["source"]: r for r in mixing.shares(mixing.mix(d, t), t).collect()}
     assert abs(s["a"]["actual_share"] - 0.25) < 0.01 and abs(s["b"]["actual_share"] - 0.25) < 0.01 and s["c"]["actual_share"] == 0
-    soft = mixing.mix(d.withColumn("source", F.when(F.col("doc_id") % 10 > 0, F.col("source"))), t, unlabelled_repeats=1)
-    assert soft.where("source is null").count() > 0
+    assert s["a"]["reached"] and s["b"]["reached"] and not s["c"]["reached"]
+
+
+def test_unlabelled_documents_fill_a_gap(spark):
+    rows = [(i, ("river and ship " if i % 2 else "stone and wall ") * (3 + i % 4), "a" if i % 2 else "b") for i in range(200)]
+    rows = [(i, t, None if x == "b" and i > 40 else x) for i, t, x in rows]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    t = spark.createDataFrame([("m", "a", 1.0, 1, 0.6), ("m", "b", 1.0, 1, 0.6)], "mix_id string, source string, target_share double, max_repeats int, size_factor double")
+    taken = mixing.mix(d, t).collect()
+    without = [r for r in taken if r["source"] is None]
+    assert without and all(r["times"] == 1 and r["doc_id"] % 2 == 0 for r in without)
+    s = {r["source"]: r for r in mixing.shares(mixing.mix(d, t), t).collect()}
+    assert abs(s["a"]["actual_share"] - 0.5) < 0.01 and not s["b"]["reached"] and abs(s["b"]["actual_share"] + s[None]["actual_share"] - 0.5) < 0.05
+    assert not [r for r in mixing.mix(d, t, unlabelled_repeats=0).collect() if r["source"] is None]
 
 
 def test_limits_of_a_source(spark):
