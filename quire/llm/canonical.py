@@ -1,13 +1,15 @@
 """Problem 4: one consistent form for text that looks the same.
 
-Every Arrow partition goes through an embedded DuckDB, whose SQL maps full-width
-forms, blanks, hyphens, ligatures, invisible characters and look-alike letters
-(``translate``, ``replace``, ``regexp_replace``) and composes accents
+Every Arrow partition goes through an embedded DuckDB, whose SQL maps full-width,
+half-width and mathematical forms, blanks, hyphens, ligatures and invisible
+characters (``translate``, ``replace``), brings look-alike letters of a word to
+one script (``regexp_extract_all``, ``translate``) and composes accents
 (``nfc_normalize``).  Line breaks, case, accents and digits stay as they are.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,18 +23,42 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def _forms() -> dict[str, str]:
+    """Wide, narrow and mathematical forms of a character -> the character, by their decompositions."""
+    out = {}
+    for cp in [*range(0xFF00, 0xFFEF), 0x3000, *range(0x1D400, 0x1D800), *range(0x2100, 0x2150)]:
+        tag, _, to = unicodedata.decomposition(chr(cp)).partition(" ")
+        if tag in ("<wide>", "<narrow>", "<font>") and " " not in to and chr(cp) not in HYPHENS:
+            out[chr(cp)] = chr(int(to, 16))
+    return out | {"\uff9e": "\u3099", "\uff9f": "\u309a"}  # voicing marks join the sign before
+
+
+def _scripts() -> list[tuple[str, str, str]]:
+    """(letters that no Latin one looks like, Latin letters, their look-alikes) of Cyrillic and Greek."""
+    out = []
+    for lo, hi in ((0x400, 0x500), (0x370, 0x400)):
+        pairs = {b: a for a, b in zip(LOOKALIKE_FROM, LOOKALIKE_TO, strict=True) if lo <= ord(a) < hi}
+        strong = "".join(chr(c) for c in range(lo, hi) if unicodedata.category(chr(c))[0] == "L" and chr(c) not in LOOKALIKE_FROM)
+        out.append((strong, "".join(pairs), "".join(pairs.values())))
+    return out
+
+
 def canonical_sql(column: str) -> str:
     """The DuckDB expression for the canonical form of ``column``."""
-    wide = "".join(chr(c) for c in range(0xFF01, 0xFF5F) if chr(c) not in HYPHENS)
-    pairs = dict(zip(wide, (chr(ord(c) - 0xFEE0) for c in wide), strict=True))
-    pairs |= dict.fromkeys(BLANKS, " ") | dict.fromkeys(HYPHENS, "-")
-    pairs |= {a: b for a, b in zip(LOOKALIKE_FROM, LOOKALIKE_TO, strict=True) if a != b}
+    pairs = _forms() | dict.fromkeys(BLANKS, " ") | dict.fromkeys(HYPHENS, "-")
     # what a translated text lacks in its "to" is deleted
     out = f"translate({column}, {_quoted(''.join(pairs) + INVISIBLE)}, {_quoted(''.join(pairs.values()))})"
     for lig, plain in LIGATURES.items():
         out = f"replace({out}, {_quoted(lig)}, {_quoted(plain)})"
-    # plain ASCII is its own canonical form
-    return f"CASE WHEN regexp_full_match({column}, '[\\x00-\\x7F]*') THEN {column} ELSE nfc_normalize({out}) END"
+    # a word with a letter of its own script is of that script; any other is Latin
+    cases = "".join(f"WHEN regexp_matches(w, '[{strong}]') THEN translate(w, {_quoted(latin)}, {_quoted(alike)}) " for strong, latin, alike in _scripts())
+    word = f"CASE {cases}ELSE translate(w, {_quoted(LOOKALIKE_FROM)}, {_quoted(LOOKALIKE_TO)}) END"
+    parts = f"list_transform(regexp_extract_all({out}, '[\\p{{L}}\\p{{M}}]+|[^\\p{{L}}\\p{{M}}]+'), lambda w: CASE WHEN regexp_matches(w, '[\u0370-\u04ff]') THEN {word} ELSE w END)"
+    # plain ASCII is its own canonical form; few texts have letters that look like others
+    return (
+        f"CASE WHEN regexp_full_match({column}, '[\\x00-\\x7F]*') THEN {column} "
+        f"WHEN regexp_matches({column}, '[\u0370-\u04ff]') THEN nfc_normalize(array_to_string({parts}, '')) ELSE nfc_normalize({out}) END"
+    )
 
 
 def canonical(df: DataFrame, id_col: str = "extraction_id", text_col: str = "text", digests: bool = False) -> DataFrame:
@@ -91,6 +117,11 @@ def look_pairs(df: DataFrame, id_col: str = "extraction_id", text_col: str = "te
     return out.select(F.least("i", "j").alias(f"{id_col}_a"), F.greatest("i", "j").alias(f"{id_col}_b")).distinct()
 
 
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, variant and class sizes of each extraction with a text: what ``p4_found`` holds, without its pairs."""
+    return look_classes(table(spark, sf_dir, "pages"))
+
+
 def p4_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical(table(spark, sf_dir, "pages"))
 

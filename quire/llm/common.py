@@ -104,8 +104,8 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 # Characters that look like a Latin one.
-LOOKALIKE_FROM = "авеијкмнорстухѕіАВЕЗІЈКМНОРСТУХЅοαινρϲυΑΒΕΖΗΙΚΜΝΟΡΤΥΧ"
-LOOKALIKE_TO = "aBeиjкмнopcтyxsiABE3IJKMHOPCTYXSoaivpcuABEZHIKMNOPTYX"
+LOOKALIKE_FROM = "аеорсухѕіјАВЕІЈКМНОРСТУХЅοαινρϲυΑΒΕΖΗΙΚΜΝΟΡΤΥΧ"
+LOOKALIKE_TO = "aeopcyxsijABEIJKMHOPCTYXSoaivpcuABEZHIKMNOPTYX"
 # Characters without a visible form.
 INVISIBLE = "­​‌‍‎‏⁠⁡⁢⁣﻿"
 # Blanks of other widths, and hyphens of other kinds.

@@ -19,6 +19,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p3_found": _P3,
         "p4_text": f"SELECT extraction_id, {form} AS text FROM pages",
+        "p4_classes": f"""WITH c AS (SELECT extraction_id, md5({form}) AS look, md5(text) AS exact FROM pages WHERE text <> ''),
+            s AS (SELECT look, count(*) AS class_rows, count(DISTINCT exact) AS variants FROM c GROUP BY look)
+            SELECT look, extraction_id, exact, class_rows, variants FROM c JOIN s USING (look)""",
         "p4_found": f"""WITH c AS (SELECT extraction_id, text, {form} AS look FROM pages WHERE text <> '')
             SELECT DISTINCT a.extraction_id AS extraction_id_a, b.extraction_id AS extraction_id_b FROM c a JOIN c b ON a.look = b.look AND a.extraction_id < b.extraction_id AND a.text <> b.text""",
     }

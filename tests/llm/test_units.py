@@ -87,7 +87,10 @@ def test_canonical_sql_maps():
     same = [("ﬁn", "fin"), ("ａ１－", "a1-"), ("a b　c", "a b c"), ("café", "café"), ("сор​у", "copy"), ("a­b", "ab"), ("Ⅻ", "XII"), ("a‑b", "a-b"), ("ﬆone", "stone")]
     for raw, want in same:
         assert con.execute(q, [raw]).fetchall()[0][0] == want
-    for raw in ("Cafe", "a\nb", "a b", "café", "1O", "“x”", ""):
+    same = [("ｶﾞ", "ガ"), ("ﾡ", "ㄱ"), ("𝐀𝟏", "A1"), ("мaмa", "мама"), ("вода и сор", "вода и cop"), ("ΛOΓOΣ", "ΛΟΓΟΣ"), ("￡", "£")]
+    for raw, want in same:
+        assert con.execute(q, [raw]).fetchall()[0][0] == want
+    for raw in ("вода", "Звон", "① 1", "Cafe", "a\nb", "a b", "café", "1O", "“x”", ""):
         assert con.execute(q, [raw]).fetchall()[0][0] == raw
 
 
