@@ -50,6 +50,25 @@ def header_combo(x: str) -> str:
     return f"({s} <> '' AND NOT {has(s, STANDALONE_LABEL)} AND {has(s, digits)} AND {has(s, start)} AND {words(s)} <= 8 AND NOT {has(s, CITATION)} AND NOT {has(s, verbs)})"
 
 
+def standalone_heading(x: str) -> str:
+    s = strip(strip(x), "#")
+    part = r"(?i)^(?:part|book|section|volume)"
+    return (
+        f"({s} <> '' AND {keyword(s)} AND (NOT {has(s, part + chr(92) + 'b')} OR {has(s, part + r'\s+(?:[0-9]+|[ivxlcdm]+|[a-z])(?:\b|[.):-])')}) "
+        f"AND length({s}) <= 90 AND NOT {has(s, r'(?i)\b(?:contains|says|treats|describes|devoted|remarks?)\b')})"
+    )
+
+
+def running_header(a: str, b: str) -> str:
+    """Of two stripped lines."""
+    letters, upper = f"length({rep(a, '[^' + chr(92) + 'p{L}]')})", f"length({rep(a, '[^' + chr(92) + 'p{Lu}]')})"
+    roman = has(rep(a, "[.]+$"), ROMAN)
+    return (
+        f"({a} <> '' AND {b} <> '' AND length({a}) <= 80 AND {words(a)} <= 12 AND (NOT {keyword(a)} OR {has(a, r'\b[0-9]{1,4}\b\s*[.]?$')}) AND NOT {roman} "
+        f"AND {letters} > 0 AND {upper} * 4 >= {letters} * 3 AND {has(b, '^[a-z0-9\"' + chr(39) + '(' + chr(92) + '[]')})"
+    )
+
+
 def line_class(x: str) -> str:
     s = strip(x)
     return f"""CASE WHEN {s} = '' THEN 'blank' WHEN starts_with({s}, '## ') THEN 'chapter_heading' WHEN starts_with({s}, '# ') THEN 'title_heading'

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
-from quire.functions.duck import CURRENT, footnote_def, has, strip, title_kind, words
+from quire.functions.duck import CURRENT, footnote_def, has, keyword, page_number, q, rep, simple, standalone_heading, strip, title_kind, words
 from quire.functions.ordered import with_previous, with_running_sum
-from quire.operators.pages import page_kind
+from quire.operators.cleanup import is_stamp, stamp_sql
+from quire.operators.pages import KINDS, page_kind
 from quire.sources.tables import latest, table
 
 STRUCTURAL = ("book", "part", "frontmatter", "index", "appendix", "preface", "introduction")
@@ -58,7 +57,7 @@ def boundaries(pages: DataFrame) -> DataFrame:
     d = with_previous(edge, "book_id", "page_number", {"prev_page": "page_number", "prev_kind": "kind", "prev_last": "last"})
     able = F.col("kind").isin(*MERGEABLE) & F.col("prev_kind").isin(*MERGEABLE, "chapter_start")
     joins = able & _joins(F.col("prev_last"), F.col("first"))
-    return d.where("prev_page is not null").select("book_id", "prev_page", F.col("page_number").alias("next_page"), joins.alias("joins"), F.when(joins, _mode(F.col("prev_last"), F.col("first"))).alias("mode"))
+    return d.where("prev_page is not null").select("book_id", "prev_page", F.col("page_number").alias("next_page"), joins.alias("joins"), F.when(joins, _mode(F.col("prev_last"), F.col("first"))).alias("mode"), catchword(F.col("prev_last")).alias("catchword"))
 
 
 def grouped_strict(pages: DataFrame) -> DataFrame:
@@ -67,72 +66,137 @@ def grouped_strict(pages: DataFrame) -> DataFrame:
     return with_running_sum(d, "book_id", "page_number", "start", "chapter").drop("start")
 
 
-_SIMPLE, _BLANKS = re.compile(r"[^a-z0-9\s#]"), re.compile(r"\s+")
+#: Words that name a chapter-like division, and those that outweigh an overlap of titles.
+DIVISION, STRONG = r"(?i)\b(?:chapter|book|part|introduction|preface|conclusion|appendix|index)\b", r"(?i)\b(?:chapter|book|part|appendix|conclusion)\b"
+# Lines of ornaments; parts of a library's name on lines of their own.
+ORNAMENT, LIBRARY_LINE = r"^[\-—–_*=·•♦◈\s]{3,}$", r"(?i)^(?:univ\.?\s+of|california\.?)$"
+#: Lines at the top of a page that may hold an opener, and of those that stand before prose.
+OPENER_LINES, BEFORE_PROSE = 16, 8
+#: Pages of one piece of a body, and the title of what stands before the first chapter.
+PIECE_PAGES, FIRST_TITLE = 512, "Front Matter"
 
 
-def _key(s: str) -> str:
-    return _BLANKS.sub(" ", _SIMPLE.sub(" ", s.lower())).strip()
+def is_ordinal(c: Column) -> Column:
+    """A number up to 500 or a Roman numeral alone on its line."""
+    s = X.strip(F.regexp_replace(X.strip(X.strip(c), "*"), r"\.+$", ""))
+    number = F.when(s.rlike(r"^\d{1,3}$"), s.cast("int"))
+    return (s != "") & (F.coalesce(number.between(1, 500), F.lit(False)) | F.upper(s).rlike(X.ROMAN))
 
 
-def grouped(pages: DataFrame) -> DataFrame:
-    """``book_id, page_number, chapter, title``: an ordered fold over each book.
+def _overlap(a: Column, b: Column) -> Column:
+    return (a != "") & (b != "") & ((a == b) | b.contains(a) | a.contains(b))
+
+
+def opens_chapter(t: Column, heading: Column) -> Column:
+    """Whether a page of plain text holds a stack of headings before its prose, and its heading is among them."""
+    h = X.simple(X.strip(heading))
+    visible = F.filter(
+        F.slice(X.full_lines(t), 1, OPENER_LINES),
+        lambda x: ~X.is_page_number(x) & ~x.rlike(ORNAMENT) & ~((F.length(x) <= 90) & (X.words(x) <= 10) & is_stamp(x)) & ~x.rlike(LIBRARY_LINE),
+    )
+    prose = F.array_position(F.transform(visible, lambda x: x.rlike("^[a-z]") | (F.length(x) > 90) | ((X.words(x) > 12) & x.rlike("[a-z].*[a-z].*[a-z]"))), True)
+    before = F.slice(visible, F.lit(1), F.least(F.lit(BEFORE_PROSE), F.when(prose > 0, prose.cast("int") - 1).otherwise(F.size(visible))))
+
+    def headingish(x: Column) -> Column:
+        letters, upper = F.length(F.regexp_replace(x, r"[^\p{L}]", "")), F.length(F.regexp_replace(x, r"[^\p{Lu}]", ""))
+        return X.is_standalone_heading(x) | is_ordinal(x) | x.rlike(DIVISION) | ((letters > 0) & (F.length(x) <= 100) & (X.words(x) <= 10) & (upper * 100 >= letters * 65))
+
+    named = F.exists(before, lambda x: _overlap(X.simple(F.regexp_replace(x, "[.:]+$", "")), h)) | F.exists(before, lambda x: x.rlike(DIVISION))
+    return (X.strip(heading) != "") & (heading.rlike(DIVISION) | (F.length(h) >= 20)) & (F.size(visible) >= 2) & (F.size(before) >= 2) & (F.size(F.filter(before, headingish)) >= 2) & named
+
 
-    A chapter start whose title equals or overlaps the title it stands under is
-    a running header and stays in the chapter; that depends on the title so far
-    and can't be a window.  Only the headings of chapter starts enter the fold;
-    the pages find their chapter by an equi-join over the chapters' ranges.
+def starts(pages: DataFrame) -> DataFrame:
+    """Pages that may start a chapter: ``book_id, page_number, heading, key, rescued, strong, rest, before``.
+
+    ``rest``: the page holds more than its title; ``before``: the page with text before it.
+    """
+    full, said = X.full_lines(X.text("text")), X.strip(X.text("chapter_heading"))
+    first = F.substring(X.strip(F.regexp_replace(F.coalesce(F.get(full, F.lit(0)), F.lit("")), "^#+", "")), 1, 80)
+    plain = X.text("page_type") == "text"
+    opens = plain & opens_chapter(X.text("text"), X.text("chapter_heading"))
+    d = pages.where("page_number is not null and book_id is not null and kind <> 'blank'").select(
+        "book_id", "page_number", (F.col("kind") == "chapter_start").alias("start"), opens.alias("opens"), (opens & (F.col("kind") == "text")).alias("rescued"), F.when(said != "", said).otherwise(first).alias("heading"), full.alias("ls"),
+    )
+    before = with_previous(d.select("book_id", "page_number"), "book_id", "page_number", {"before": "page_number"})
+    d = d.where("start or rescued").withColumn("key", X.simple(F.col("heading")))
+    rest = F.exists("ls", lambda x: ~(X.is_keyword(x) | _overlap(X.simple(x), F.col("key"))))
+    d = d.select("book_id", "page_number", "heading", "key", "rescued", (F.col("opens") & F.col("heading").rlike(STRONG)).alias("strong"), rest.alias("rest"))
+    return d.join(before, ["book_id", "page_number"])
+
+
+def accepted(candidates: DataFrame) -> DataFrame:
+    """``book_id, page_number, chapter, title`` of the pages that do start a chapter: an ordered fold over the headings of each book.
+
+    A start whose title equals or overlaps the title it stands under is a running
+    header and stays in the chapter, if the chapter has text already; a rescued
+    page must differ, any other may overlap if its own lines are a strong opener.
+    That depends on the title so far and can't be a window.
     """
-    full = X.full_lines(X.text("text"))
-    said = X.strip(X.text("chapter_heading"))
-    numbered = pages.where("page_number is not null and book_id is not null")
-    starts = numbered.where("kind = 'chapter_start'").select("book_id", "page_number", F.when(said != "", said).otherwise(F.substring(F.coalesce(F.get(full, F.lit(0)), F.lit("")), 1, 80)).alias("heading"))
 
     def fold(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("page_number")
-        title, rows = "Front Matter", []
-        for page, heading in zip(g["page_number"], g["heading"], strict=True):
-            new, old = _key(heading or ""), _key(title)
-            if not (new and old and (new == old or new in old or old in new)):
-                title = heading or ""
-                rows.append((g["book_id"].iloc[0], page, len(rows) + 1, title))
-        out = pd.DataFrame(rows, columns=["book_id", "first", "chapter", "title"])
-        out["next"] = out["first"].shift(-1).astype("Int32")
-        return out
-
-    chapters = starts.groupBy("book_id").applyInPandas(fold, "book_id string, first int, chapter int, title string, next int")
-    # a chapter's pages are a range of numbers; the last one ends with the book
-    last = numbered.groupBy("book_id").agg(F.max("page_number").alias("last"))
-    ranges = chapters.join(last, "book_id").select("book_id", "chapter", "title", F.explode(F.sequence("first", F.coalesce(F.col("next") - 1, "last"))).alias("page_number"))
-    out = numbered.select("book_id", "page_number").join(ranges, ["book_id", "page_number"], "left")
-    return out.select("book_id", "page_number", F.coalesce("chapter", F.lit(0)).alias("chapter"), F.coalesce("title", F.lit("Front Matter")).alias("title"))
-
-
-def catchword_dropped(left: Column, right: Column) -> Column:
-    """``right`` without a first word that repeats the last word of ``left`` (4 letters or more; ſ reads as s)."""
-    word = lambda c, p: F.translate(F.lower(F.regexp_extract(c, p, 1)), "ſ", "s")
-    a, b = word(left, r"(\p{L}{4,})[\p{P}\s]*$"), word(right, r"^\s*(\p{L}{4,})\b")
-    return F.when((a != "") & (a == b), F.regexp_replace(right, r"^\s*\p{L}{4,}[,;:]?\s*", "")).otherwise(right)
+        old, at, rest, rows = FIRST_TITLE.lower(), None, False, []
+        for page, heading, new, rescued, strong, more, before in zip(*[g[c] for c in ("page_number", "heading", "key", "rescued", "strong", "rest", "before")], strict=True):
+            body = before == before and before is not None and (at is None or before > at or (before == at and rest))
+            overlap = body and new and old and (new == old or new in old or old in new)
+            if overlap and (rescued or not strong):
+                continue
+            old, at, rest = new, page, bool(more)
+            rows.append((g["book_id"].iloc[0], page, len(rows) + 1, heading))
+        return pd.DataFrame(rows, columns=["book_id", "page_number", "chapter", "title"])
+
+    return candidates.groupBy("book_id").applyInPandas(fold, "book_id string, page_number int, chapter int, title string")
+
+
+def grouped(pages: DataFrame) -> DataFrame:
+    """``book_id, page_number, chapter, title``: only possible chapter starts enter the fold;
+    the pages find their chapter by a running sum over cells of the book."""
+    found = accepted(starts(pages))
+    numbered = pages.where("page_number is not null and book_id is not null").select("book_id", "page_number")
+    d = numbered.join(found.select("book_id", "page_number", F.lit(1).alias("start")), ["book_id", "page_number"], "left").withColumn("start", F.coalesce("start", F.lit(0)))
+    d = with_running_sum(d, "book_id", "page_number", "start", "chapter").select("book_id", "page_number", F.col("chapter").cast("int").alias("chapter"))
+    return d.join(found.select("book_id", "chapter", "title"), ["book_id", "chapter"], "left").select("book_id", "page_number", "chapter", F.coalesce("title", F.lit(FIRST_TITLE)).alias("title"))
+
+
+# The word that ends a page, the word that begins one, and signs that follow without a blank.
+_LAST_WORD, _FIRST_WORD = r"([A-Za-zſ][A-Za-zſ'’\-]{3,})[.,;:!?]*\s*$", r"^[\"'“‘(\[]*([A-Za-zſ][A-Za-zſ'’\-]{3,})\b[.,;:!?]*(?:\s+|$)"
+_NO_SPACE = r"^[.,;:)\]}\"'”’]"
+
+
+def catchword(last: Column) -> Column:
+    """The last word of a line as it may stand again on the next page ('' if it is divided)."""
+    return F.when(last.endswith("-"), "").otherwise(F.translate(F.lower(F.regexp_extract(last, _LAST_WORD, 1)), "ſ", "s"))
+
+
+def without_catchword(word: Column, t: Column) -> Column:
+    """A text without its first word if that is the catchword and more follows."""
+    rest = F.regexp_replace(t, _FIRST_WORD, "")
+    own = F.translate(F.lower(F.regexp_extract(t, _FIRST_WORD, 1)), "ſ", "s")
+    return F.when((word != "") & (own == word) & (X.strip(rest) != ""), F.ltrim(rest)).otherwise(t)
 
 
 def bodies(pages: DataFrame) -> DataFrame:
-    """Bodies of the chapters: page texts in order, joined at the boundaries as decided.
+    """``book_id, chapter, title, piece, body, pages, first_page``: page texts in order, joined at the boundaries as decided.
 
-    A chapter's pages are the group; a book of any length has bounded chapters.
+    What a page gives depends on its neighbours' edges only, so it is known
+    before anything is grouped; a body comes in pieces of PIECE_PAGES page
+    numbers, to be put together without anything between.
     """
     cuts = boundaries(pages)
-    ch = grouped(pages)
-    d = pages.select("book_id", "page_number", "kind", X.strip(X.text("text")).alias("text")).join(ch, ["book_id", "page_number"]).join(cuts.select("book_id", F.col("next_page").alias("page_number"), "joins", "mode"), ["book_id", "page_number"], "left")
-    part = F.struct("page_number", F.when(F.col("kind") != "blank", F.col("text")).otherwise("").alias("text"), F.coalesce("mode", F.lit("")).alias("mode"))
-    parts = F.filter(F.array_sort(F.collect_list(part)), lambda p: p["text"] != "")
-
-    def add(acc: Column, p: Column) -> Column:
-        t, m = p["text"], p["mode"]
-        t2 = F.regexp_replace(t, r"^-{2,}\s*", "")
-        cut = F.regexp_replace(acc, r"-\s*$", "")
-        joined = F.when(m == "drop_hyphen", F.concat(cut, t2)).when(m.isin("keep_hyphen", "nospace"), F.concat(acc, t2)).when(m == "space", F.concat(acc, F.lit(" "), catchword_dropped(acc, t2)))
-        return F.when(acc == "", t).otherwise(F.coalesce(joined, F.concat(acc, F.lit("\n\n"), t)))
-
-    return d.groupBy("book_id", "chapter", "title").agg(F.aggregate(parts, F.lit(""), add).alias("body"), F.count("*").alias("pages"), F.min("page_number").alias("first_page"))
+    d = pages.select("book_id", "page_number", F.when(F.col("kind") != "blank", X.strip(X.text("text"))).otherwise("").alias("text")).join(grouped(pages), ["book_id", "page_number"])
+    first = d.where("text <> ''").groupBy("book_id", "chapter").agg(F.min("page_number").alias("first"))
+    of = d.select("book_id", F.col("page_number").alias("prev_page"), F.col("chapter").alias("prev_chapter"))
+    into = cuts.where("joins").join(of, ["book_id", "prev_page"]).select("book_id", F.col("next_page").alias("page_number"), "prev_page", "prev_chapter", "mode", "catchword")
+    joined = d.select("book_id", "page_number", "chapter").join(into, ["book_id", "page_number"]).where("chapter = prev_chapter").drop("chapter", "prev_chapter")
+    out = joined.where("mode = 'drop_hyphen'").select("book_id", F.col("prev_page").alias("page_number"), F.lit(True).alias("cut"))
+    d = d.join(joined, ["book_id", "page_number"], "left").join(out, ["book_id", "page_number"], "left").join(first, ["book_id", "chapter"], "left")
+    t = F.when(F.col("mode").isNull(), F.col("text")).otherwise(without_catchword(F.col("catchword"), F.regexp_replace("text", r"^-{2,}\s*(?=[A-Za-z0-9\"'(\[])", "")))
+    d = d.withColumn("own", t)
+    sep = F.when(F.col("page_number") == F.col("first"), "").when(F.col("mode").isin("drop_hyphen", "keep_hyphen"), "").when(F.col("mode").isin("space", "nospace"), F.when(F.col("own").rlike(_NO_SPACE), "").otherwise(" ")).otherwise("\n\n")
+    part = F.when(F.col("text") == "", "").otherwise(F.concat(sep, F.when(F.coalesce("cut", F.lit(False)), F.regexp_replace("own", r"-\s*$", "")).otherwise(F.col("own"))))
+    parts = F.array_sort(F.collect_list(F.struct("page_number", part.alias("part"))))  # at most PIECE_PAGES
+    g = d.withColumn("piece", F.floor(F.col("page_number") / PIECE_PAGES).cast("int")).groupBy("book_id", "chapter", "title", "piece")
+    return g.agg(F.array_join(F.transform(parts, lambda x: x["part"]), "").alias("body"), F.count("*").alias("pages"), F.min("page_number").alias("first_page"))
 
 
 def heading_plan(chapters: DataFrame, plan: DataFrame | None = None) -> DataFrame:
@@ -161,19 +225,12 @@ def _current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumn("kind", page_kind(p))
 
 
-def _said(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest pages with the extracted type as kind; headings start chapters."""
-    p = latest(table(spark, sf_dir, "pages"))
-    said = X.text("page_type")
-    return p.withColumn("kind", F.when(said.isin("blank", "error") | (X.strip(X.text("text")) == ""), "blank").when((said == "text") & (X.strip(X.text("chapter_heading")) != ""), "chapter_start").when(said.isin("title", "frontmatter"), "frontmatter").otherwise(said))
-
-
 def q_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return boundaries(_said(spark, sf_dir))
+    return boundaries(_current(spark, sf_dir)).drop("catchword")
 
 
 def q_grouped_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grouped_strict(_said(spark, sf_dir).where("page_number is not null"))
+    return grouped_strict(_current(spark, sf_dir).where("page_number is not null"))
 
 
 def q_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +239,7 @@ def q_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = bodies(_current(spark, sf_dir))
-    return b.select("book_id", "chapter", "title", "pages", "first_page", X.words(F.col("body")).alias("words"), F.sha1("body").alias("body_sha1"))
+    return b.select("book_id", "chapter", "title", "piece", "pages", "first_page", X.words(F.col("body")).alias("words"), F.sha1("body").alias("body_sha1"))
 
 
 def q_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,19 +262,63 @@ QUERIES = {
 }
 
 _TEXT = "coalesce(text, '')"
-_SAID = f"""{CURRENT}, said AS (SELECT *, CASE WHEN coalesce(page_type, '') IN ('blank', 'error') OR {strip(_TEXT)} = '' THEN 'blank' WHEN page_type = 'text' AND {strip("coalesce(chapter_heading, '')")} <> '' THEN 'chapter_start'
-    WHEN page_type IN ('title', 'frontmatter') THEN 'frontmatter' ELSE coalesce(page_type, '') END AS kind FROM current)"""
 _JOINS = f"""(prev_last <> '' AND first <> '' AND NOT ({footnote_def('first')} OR {has('first', X.PAGE_NUMBER)} OR {has('first', '(?i)^[ivxlcdm]{1,8}[.]?$')} OR starts_with(first, '[Illustration') OR starts_with(prev_last, '[Illustration'))
     AND (ends_with(prev_last, '-') OR (NOT {has('prev_last', '[.!?]' + _CLOSERS + '$')} AND ({has('first', r'''^[a-z0-9"'(\[]''')} OR {has('first', r'''^-{2,}\s*[A-Za-z0-9"'(\[]''')} OR {has('prev_last', '[,;:—]$')}))))"""
 _MODE = f"""CASE WHEN ends_with(prev_last, '-') AND {has('first', '^[A-Z]')} THEN 'keep_hyphen' WHEN ends_with(prev_last, '-') THEN 'drop_hyphen' WHEN ends_with(prev_last, ':') AND {has('first', r'''^['"“‘][A-Z]''')} THEN 'paragraph'
     WHEN {has('first', r'''^[.,;:)\]}"'”’]''')} THEN 'nospace' ELSE 'space' END"""
+_LINES = f"list_filter(list_transform(string_split({_TEXT}, chr(10)), lambda x: {strip('x')}), lambda x: x <> '')"
+_FOLDED = "translate(lower(@), 'ſ', 's')"
+_BOUNDS = f"""b0 AS (SELECT book_id, page_number, kind, {_LINES} AS ls FROM kinds WHERE page_number IS NOT NULL AND kind NOT IN ('blank', 'illustration')),
+    b1 AS (SELECT book_id, page_number, kind, coalesce(ls[len(ls)], '') AS last, coalesce(ls[1], '') AS first FROM b0),
+    b2 AS (SELECT *, lag(page_number) OVER o AS prev_page, lag(kind) OVER o AS prev_kind, lag(last) OVER o AS prev_last FROM b1 WINDOW o AS (PARTITION BY book_id ORDER BY page_number)),
+    b3 AS (SELECT *, kind IN ('text', 'frontmatter', 'backmatter') AND prev_kind IN ('text', 'frontmatter', 'backmatter', 'chapter_start') AND {_JOINS} AS joins FROM b2 WHERE prev_page IS NOT NULL),
+    bounds AS (SELECT book_id, prev_page, page_number AS next_page, joins, CASE WHEN joins THEN {_MODE} END AS mode, CASE WHEN ends_with(prev_last, '-') THEN '' ELSE {_FOLDED.replace("@", f"regexp_extract(prev_last, {q(_LAST_WORD)}, 1)")} END AS catchword FROM b3)"""
+
+
+def _overlap_sql(a: str, b: str) -> str:
+    return f"({a} <> '' AND {b} <> '' AND ({a} = {b} OR contains({b}, {a}) OR contains({a}, {b})))"
+
+
+def _headingish_sql(x: str) -> str:
+    o = strip(rep(strip(strip(x), "*"), "[.]+$"))
+    ordinal = f"({o} <> '' AND (coalesce(CASE WHEN {has(o, '^[0-9]{1,3}$')} THEN {o}::INTEGER BETWEEN 1 AND 500 END, false) OR {has(f'upper({o})', X.ROMAN)}))"
+    letters, upper = f"length({rep(x, '[^' + chr(92) + 'p{L}]')})", f"length({rep(x, '[^' + chr(92) + 'p{Lu}]')})"
+    return f"({standalone_heading(x)} OR {ordinal} OR {has(x, DIVISION)} OR ({letters} > 0 AND length({x}) <= 100 AND {words(x)} <= 10 AND {upper} * 100 >= {letters} * 65))"
+
+
+_PROSE = f"({has('x', '^[a-z]')} OR length(x) > 90 OR ({words('x')} > 12 AND {has('x', '[a-z].*[a-z].*[a-z]')}))"
+_GROUPED = f"""g0 AS (SELECT book_id, page_number, kind, coalesce(page_type, '') = 'text' AS plain, {_LINES} AS ls, {strip("coalesce(chapter_heading, '')")} AS said FROM kinds WHERE page_number IS NOT NULL AND book_id IS NOT NULL AND kind <> 'blank'),
+    g1 AS (SELECT *, CASE WHEN said <> '' THEN said ELSE substr({strip(rep("coalesce(ls[1], '')", '^#+'))}, 1, 80) END AS heading, {simple('said')} AS h,
+        list_filter(ls[1:{OPENER_LINES}], lambda x: NOT {page_number('x')} AND NOT {has('x', ORNAMENT)} AND NOT (length(x) <= 90 AND {words('x')} <= 10 AND {stamp_sql('x')}) AND NOT {has('x', LIBRARY_LINE)}) AS vis FROM g0),
+    g2 AS (SELECT *, coalesce(list_position(list_transform(vis, lambda x: {_PROSE}), true), 0) AS prose FROM g1),
+    g3 AS (SELECT *, vis[1:least({BEFORE_PROSE}, CASE WHEN prose > 0 THEN prose - 1 ELSE len(vis) END)] AS pre FROM g2),
+    g4 AS (SELECT *, plain AND said <> '' AND ({has('said', DIVISION)} OR length(h) >= 20) AND len(vis) >= 2 AND len(pre) >= 2 AND len(list_filter(pre, lambda x: {_headingish_sql('x')})) >= 2
+        AND (len(list_filter(pre, lambda x: {_overlap_sql(simple(rep('x', '[.:]+$')), 'h')})) > 0 OR len(list_filter(pre, lambda x: {has('x', DIVISION)})) > 0) AS opens, {simple('heading')} AS key, lag(page_number) OVER (PARTITION BY book_id ORDER BY page_number) AS before FROM g3),
+    g5 AS (SELECT book_id, page_number, heading, key, opens AND kind = 'text' AS rescued, opens AND {has('heading', STRONG)} AS strong, before,
+        len(list_filter(ls, lambda x: NOT ({keyword('x')} OR {_overlap_sql(simple('x'), 'key')}))) > 0 AS rest, row_number() OVER (PARTITION BY book_id ORDER BY page_number) AS rn FROM g4 WHERE kind = 'chapter_start' OR (opens AND kind = 'text')),
+    walk AS (SELECT book_id, 0::BIGINT AS rn, '{FIRST_TITLE.lower()}' AS old, NULL::INTEGER AS spot, false AS more, 0 AS chapter, NULL::INTEGER AS page_number, NULL::VARCHAR AS title, false AS took FROM (SELECT DISTINCT book_id FROM g5)
+        UNION ALL SELECT book_id, rn, CASE WHEN took THEN key ELSE old END, CASE WHEN took THEN page_number ELSE spot END, CASE WHEN took THEN rest ELSE more END, chapter + took::INTEGER, page_number, CASE WHEN took THEN heading ELSE title END, took
+        FROM (SELECT w.book_id, g.rn, w.old, w.spot, w.more, w.chapter, g.page_number, w.title, g.key, g.rest, g.heading,
+            NOT (coalesce(g.before IS NOT NULL AND (w.spot IS NULL OR g.before > w.spot OR (g.before = w.spot AND w.more)), false) AND {_overlap_sql('g.key', 'w.old')} AND (g.rescued OR NOT g.strong)) AS took
+            FROM walk w JOIN g5 g ON g.book_id = w.book_id AND g.rn = w.rn + 1)),
+    found AS (SELECT book_id, page_number, chapter, title FROM walk WHERE took),
+    numbered AS (SELECT k.book_id, k.page_number, sum(CASE WHEN f.chapter IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY k.book_id ORDER BY k.page_number)::INTEGER AS chapter FROM kinds k LEFT JOIN found f USING (book_id, page_number) WHERE k.page_number IS NOT NULL AND k.book_id IS NOT NULL),
+    grouped AS (SELECT n.book_id, n.page_number, n.chapter, coalesce(f.title, '{FIRST_TITLE}') AS title FROM numbered n LEFT JOIN found f ON f.book_id = n.book_id AND f.chapter = n.chapter)"""
+_REST = f"ltrim({rep('dashed', _FIRST_WORD)})"
+_BODIES = f"""d0 AS (SELECT g.*, CASE WHEN k.kind <> 'blank' THEN {strip("coalesce(k.text, '')")} ELSE '' END AS text FROM grouped g JOIN kinds k USING (book_id, page_number)),
+    d1 AS (SELECT book_id, chapter, min(page_number) AS first FROM d0 WHERE text <> '' GROUP BY ALL),
+    d2 AS (SELECT b.book_id, b.next_page AS page_number, b.prev_page, b.mode, b.catchword FROM bounds b JOIN d0 x ON x.book_id = b.book_id AND x.page_number = b.next_page JOIN d0 y ON y.book_id = b.book_id AND y.page_number = b.prev_page WHERE b.joins AND x.chapter = y.chapter),
+    d3 AS (SELECT d0.*, first, mode, catchword, o.prev_page IS NOT NULL AS cut, CASE WHEN mode IS NULL THEN text ELSE regexp_replace(text, '^-{{2,}}\\s*([A-Za-z0-9"''(\\[])', '\\1') END AS dashed FROM d0 LEFT JOIN d1 USING (book_id, chapter) LEFT JOIN d2 USING (book_id, page_number)
+        LEFT JOIN (SELECT book_id, prev_page FROM d2 WHERE mode = 'drop_hyphen') o ON o.book_id = d0.book_id AND o.prev_page = d0.page_number),
+    d4 AS (SELECT *, CASE WHEN mode IS NOT NULL AND catchword <> '' AND {_FOLDED.replace("@", f"regexp_extract(dashed, {q(_FIRST_WORD)}, 1)")} = catchword AND {strip(rep('dashed', _FIRST_WORD))} <> '' THEN {_REST} ELSE dashed END AS own FROM d3),
+    d5 AS (SELECT *, CASE WHEN text = '' THEN '' ELSE CASE WHEN page_number = first THEN '' WHEN mode IN ('drop_hyphen', 'keep_hyphen') THEN '' WHEN mode IN ('space', 'nospace') THEN CASE WHEN {has('own', _NO_SPACE)} THEN '' ELSE ' ' END ELSE chr(10) || chr(10) END
+        || CASE WHEN cut THEN regexp_replace(own, '-\\s*$', '') ELSE own END END AS part FROM d4),
+    bodies AS (SELECT book_id, chapter, title, (page_number // {PIECE_PAGES})::INTEGER AS piece, string_agg(part, '' ORDER BY page_number) AS body, count(*) AS pages, min(page_number) AS first_page FROM d5 GROUP BY ALL)"""
 SQL = {
-    "boundary_joins": f"""WITH {_SAID}, l AS (SELECT book_id, page_number, kind, list_filter(list_transform(string_split({_TEXT}, chr(10)), lambda x: {strip('x')}), lambda x: x <> '') AS ls FROM said WHERE page_number IS NOT NULL AND kind NOT IN ('blank', 'illustration')),
-        e AS (SELECT book_id, page_number, kind, coalesce(ls[len(ls)], '') AS last, coalesce(ls[1], '') AS first FROM l),
-        w AS (SELECT *, lag(page_number) OVER o AS prev_page, lag(kind) OVER o AS prev_kind, lag(last) OVER o AS prev_last FROM e WINDOW o AS (PARTITION BY book_id ORDER BY page_number)),
-        j AS (SELECT *, kind IN ('text', 'frontmatter', 'backmatter') AND prev_kind IN ('text', 'frontmatter', 'backmatter', 'chapter_start') AND {_JOINS} AS joins FROM w WHERE prev_page IS NOT NULL)
-        SELECT book_id, prev_page, page_number AS next_page, joins, CASE WHEN joins THEN {_MODE} END AS mode FROM j""",
-    "chapters_strict": f"WITH {_SAID} SELECT book_id, page_number, kind, sum(CASE WHEN kind = 'chapter_start' THEN 1 ELSE 0 END) OVER (PARTITION BY book_id ORDER BY page_number)::BIGINT AS chapter FROM said WHERE page_number IS NOT NULL",
+    "boundary_joins": f"""WITH {KINDS}, {_BOUNDS} SELECT book_id, prev_page, next_page, joins, mode FROM bounds""",
+    "chapters_strict": f"WITH {KINDS} SELECT book_id, page_number, kind, sum(CASE WHEN kind = 'chapter_start' THEN 1 ELSE 0 END) OVER (PARTITION BY book_id ORDER BY page_number)::BIGINT AS chapter FROM kinds WHERE page_number IS NOT NULL",
+    "chapters_grouped": f"WITH RECURSIVE {KINDS}, {_GROUPED} SELECT book_id, page_number, chapter, title FROM grouped",
+    "chapter_bodies": f"WITH RECURSIVE {KINDS}, {_GROUPED}, {_BOUNDS}, {_BODIES} SELECT book_id, chapter, title, piece, pages, first_page, {words('body')}::INTEGER AS words, sha1(body) AS body_sha1 FROM bodies",
     "heading_plan": f"""WITH k AS (SELECT chapter_id, title, {title_kind('title')} AS kind, {strip("coalesce(body, '')")} = '' AS is_empty FROM chapters)
         SELECT chapter_id, title, kind, CASE WHEN kind IN ('part', 'chapter') THEN 3 ELSE 2 END AS level, kind IN {STRUCTURAL} AS emit_if_empty, is_empty, NOT is_empty OR kind IN {STRUCTURAL} AS emitted FROM k""",
     "assembled_books": f"""WITH {CURRENT}, c AS (SELECT book_id, count(*) AS chapters, sum({words("coalesce(body, '')")})::BIGINT AS total_words, count(*) FILTER (WHERE {has("coalesce(body, '')", X.INDIC)}) AS indic_chapters FROM chapters GROUP BY book_id),

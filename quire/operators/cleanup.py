@@ -138,6 +138,13 @@ QUERIES = {"line_cleanup": q_line_cleanup, "signature_prefixes": q_signatures, "
 
 _S = strip("line")
 _B = "coalesce(body, '')"
+
+
+def stamp_sql(s: str) -> str:
+    """``is_stamp`` of a stripped line."""
+    return f"({s} <> '' AND ({has(s, LIBRARY)} OR {has(s, '(?i)^[|]' + chr(92) + 's*(?:Date|St[.]?' + chr(92) + 's*Card|Class|Cat|Bk[.]?' + chr(92) + 's*Card[.]?|Checked)' + chr(92) + 's*[|]')} OR {has(s, '^[|]' + chr(92) + 's*:?-{3,}:?' + chr(92) + 's*[|]' + chr(92) + 's*:?-{3,}:?' + chr(92) + 's*[|]?$')}))"
+
+
 _STAMP = f"({has(_S, LIBRARY)} OR {has(_S, '(?i)^[|]\\s*(?:Date|St[.]?\\s*Card|Class|Cat|Bk[.]?\\s*Card[.]?|Checked)\\s*[|]')} OR {has(_S, '^[|]\\s*:?-{3,}:?\\s*[|]\\s*:?-{3,}:?\\s*[|]?$')})"
 _H = strip(f"ltrim({_S}, '#')")
 

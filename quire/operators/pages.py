@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
-from quire.functions.duck import CURRENT, has, q, strip, words
+from quire.functions.duck import CURRENT, has, header_with_number, keyword, q, rep, running_header, simple, standalone_heading, strip, words
 from quire.sources.tables import latest, table
 
 # Remarks of a model about a page without text.
@@ -238,6 +238,20 @@ SQL = {
 }
 
 
+_FULL = f"list_filter(list_transform(string_split(t, chr(10)), lambda x: {strip('x')}), lambda x: x <> '')"
+_LABEL, _NUM = keyword(strip("@", "*")), has("@", r"^\d{1,4}\*?\.?$")
+_BLOCK = f"(len(ls) >= 2 AND length(t) > 250 AND (({_NUM.replace('@', 'l1')} AND {_LABEL.replace('@', 'l2')}) OR ({_LABEL.replace('@', 'l1')} AND {_NUM.replace('@', 'l2')})))"
+_HIT = f"len(list_filter(ls[1:5], lambda x: {standalone_heading('x')} AND NOT (length(t) > 250 AND {header_with_number('x')}))) > 0"
+_CAPS = f"(length(t) < 200 AND len(list_filter(ls[1:3], lambda x: ({keyword('x')} AND upper(x) = x) OR ({strip('x', '.')} <> '' AND {has(rep('x', '[.]+$'), X.ROMAN)}))) > 0)"
+_AGREES = f"({strip('heading')} <> '' AND {simple('l1')} = {simple('heading')} AND length(l1) > 3 AND coalesce({strip('string_split(t, chr(10))[2]')}, 'x') = '')"
+#: ``kinds``: the latest pages with their assembly type.
+KINDS = f"""{CURRENT}, k0 AS (SELECT *, {strip(_T)} AS t, {strip(_T)} AS s, coalesce(page_type, '') AS said, coalesce(chapter_heading, '') AS heading FROM current),
+    k1 AS (SELECT *, {_FULL} AS ls FROM k0), k2 AS (SELECT *, coalesce(ls[1], '') AS l1, coalesce(ls[2], '') AS l2 FROM k1),
+    kinds AS (SELECT * EXCLUDE (s, t, said, heading, ls, l1, l2), CASE WHEN t = '' OR {_REMARK} OR said = 'blank' THEN 'blank' WHEN said = 'illustration' OR (starts_with(t, '[Illustration') AND length(t) < 200) THEN 'illustration' WHEN said = 'toc' THEN 'toc'
+        WHEN NOT {running_header('l1', 'l2')} AND NOT {_BLOCK} AND ({_HIT} OR {_CAPS} OR {_AGREES}) THEN 'chapter_start' WHEN said IN ('title', 'frontmatter') THEN 'frontmatter' WHEN said = 'backmatter' THEN 'backmatter' ELSE 'text' END AS kind FROM k2)"""
+SQL["page_kinds"] = f"WITH {KINDS} SELECT book_id, page_number, kind FROM kinds"
+
+
 def _line_classes_sql() -> str:
     from quire.functions.duck import LINES, line_class
 
