@@ -79,6 +79,8 @@ VARIETY, WORDS = 0.5, 4
 #: A response mismatches its book if at most this part of its terms stands on other pages
 #: of it: of one that repeats itself or is repeated, of one with a phrase, of a repeated one with a phrase.
 KNOWN, KNOWN_SAID, KNOWN_BOTH = 0.5, 0.85, 0.95
+#: Lines at either edge of a response among which furniture stands.
+EDGE = 4
 #: Letters of a term.
 TERM = 4
 
@@ -115,16 +117,16 @@ def responses(pages: DataFrame, books: DataFrame) -> DataFrame:
     own = F.array_union(F.array_union(_slug_terms(F.coalesce("book_id", F.lit(""))), _slug_terms(F.coalesce("title", F.lit("")))), _slug_terms(F.coalesce("chapter_heading", F.lit(""))))
     host = F.regexp_replace(F.lower(F.coalesce("source", F.lit(""))), "_", " ")
     p = p.withColumns({"own": own, "longest": F.greatest(F.length(F.coalesce("title", F.lit(""))), F.length(F.coalesce("chapter_heading", F.lit(""))), F.length(F.coalesce("book_id", F.lit("")))) * 2 + 40})
-    lines = F.filter(
-        F.split("raw", r"\n"),
-        lambda x: (F.length(x) > F.col("longest")) | ~(
-            (F.trim(x) == "")
-            | F.regexp_replace(x, r"[^\p{L}]+", "").rlike(r"^(?i:[ivxlc]{0,8}|page|p)$")
-            | (F.lower(F.trim(x)) == host)
-            | x.rlike(r"(?i)^\s*home \|")
-            | (F.size(F.array_intersect(_slug_terms(x), F.col("own"))) * 2 > F.size(_slug_terms(x)))
-        ),
-    )
+    # full lines at either edge; only these are taken apart
+    p = p.withColumn("ls", F.filter(F.split("raw", r"\n"), lambda x: x.rlike(r"\S")))
+    shared = lambda t: F.size(F.array_intersect(t, F.col("own"))) * 2 > F.size(t)
+    furniture = lambda x: (
+        ((F.length(x) <= 24) & F.regexp_replace(x, r"[^\p{L}]+", "").rlike(r"^(?i:[ivxlc]{0,8}|page|p)$"))
+        | (F.lower(F.trim(x)) == host)
+        | x.rlike(r"(?i)^\s*home \|")
+        | ((F.length(x) <= F.col("longest")) & shared(_slug_terms(x)))
+    )
+    lines = F.filter("ls", lambda x, i: ~(((i < EDGE) | (i >= F.size("ls") - EDGE)) & furniture(x)))
     p = p.withColumn("left", F.array_join(lines, "\n"))
     known = F.array(*map(F.lit, FILLER_WORDS))
     split = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{M}]+"), lambda w: w != "")
@@ -133,15 +135,16 @@ def responses(pages: DataFrame, books: DataFrame) -> DataFrame:
     words, unwrapped = split(F.col("raw")), split(F.regexp_replace("raw", r"\n", ""))
     lorem = F.when(maybe, (F.size(words) >= 5) & (F.greatest(share(words), share(unwrapped)) >= 0.6)).otherwise(False)
     remark = F.col("left").rlike(REMARKS)
-    said = lambda x, least=COVER: F.when(~remark & F.col("left").rlike(x), _covered(F.col("left"), x) >= least).otherwise(False)
-    p = p.withColumns({"words": split(F.col("left")), "remark": remark})
+    p = p.withColumns({"words": split(F.col("left")), "remark": remark, "f": F.col("left").rlike(FILLER_PHRASES), "e": F.col("left").rlike(ERRORS), "n": F.col("left").rlike(NOTICES)})
+    part = lambda hit, x: F.when(~F.col("remark") & F.col(hit), _covered(F.col("left"), x)).otherwise(0.0)
+    p = p.withColumns({"f": part("f", FILLER_PHRASES), "e": part("e", ERRORS), "n": part("n", NOTICES)})
     few = F.size("words") >= WORDS
     pairs = F.zip_with(F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))), F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
     p = p.withColumns({
-        "filler": lorem | said(FILLER_PHRASES), "error": said(ERRORS), "notice": said(NOTICES), "wholly": said(FILLER_PHRASES, WHOLLY) | said(ERRORS, WHOLLY) | said(NOTICES, WHOLLY),
-        "dull": F.when(~remark & few & (F.size(F.array_distinct("words")) <= VARIETY * F.size("words")), F.size(F.array_distinct(pairs)) <= VARIETY * F.size(pairs)).otherwise(False),
+        "filler": lorem | (F.col("f") >= COVER), "error": F.col("e") >= COVER, "notice": F.col("n") >= COVER, "wholly": F.greatest("f", "e", "n") >= WHOLLY,
+        "dull": F.when(~F.col("remark") & few & (F.size(F.array_distinct("words")) <= VARIETY * F.size("words")), F.size(F.array_distinct(pairs)) <= VARIETY * F.size(pairs)).otherwise(False),
         # the form of a response: its letters; digits and names of files differ from one to the next
-        "response": F.when((F.size("words") > 0) & ~remark & F.coalesce(F.col("page_type") != "blank", F.lit(True)), F.xxhash64(F.array_join("words", " "))),
+        "response": F.when((F.size("words") > 0) & ~F.col("remark") & F.coalesce(F.col("page_type") != "blank", F.lit(True)), F.xxhash64(F.array_join("words", " "))),
     })
     return p.select("extraction_id", "book_id", "source", "placeholder", "filler", "error", "notice", "wholly", "dull", "response", F.size(F.array_distinct("words")).alias("variety"), "own", "left")
 
