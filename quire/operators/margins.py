@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
-from quire.functions.duck import CURRENT, footnote_def, margin_key, page_number, strip, words
-from quire.operators.pages import page_kind
+from quire.functions.duck import footnote_def, margin_key, page_number, strip, words
+from quire.operators.pages import KINDS, page_kind
 from quire.sources.tables import latest, table
 
 #: Lines at either edge that count, and the kinds of page that have margins.
-EDGE, KINDS = 2, ("text", "chapter_start", "backmatter")
+EDGE, KINDS_WITH = 2, ("text", "chapter_start", "backmatter")
 
 
 def _edge_lines(full: Column) -> Column:
@@ -24,7 +24,7 @@ def _edge_lines(full: Column) -> Column:
 
 def with_margins(pages: DataFrame) -> DataFrame:
     """Pages that take part: ``book_id, page_number, text`` of margin-bearing kinds with text."""
-    return pages.where(X.strip(X.text("text")) != "").select("book_id", "page_number", "extraction_id", X.text("text").alias("text"), page_kind(pages).alias("kind")).where(F.col("kind").isin(*KINDS))
+    return pages.where(X.strip(X.text("text")) != "").select("book_id", "page_number", "extraction_id", X.text("text").alias("text"), page_kind(pages).alias("kind")).where(F.col("kind").isin(*KINDS_WITH))
 
 
 def detect(pages: DataFrame) -> DataFrame:
@@ -70,45 +70,35 @@ def strip_margins(pages: DataFrame, margins: DataFrame) -> DataFrame:
 
 
 def q_running_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over the latest extractions, with the extracted page type in place of the assembly type."""
-    return detect(_by_said_type(latest(table(spark, sf_dir, "pages"))))
+    return detect(with_margins(latest(table(spark, sf_dir, "pages"))))
 
 
 def q_stripped_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _by_said_type(latest(table(spark, sf_dir, "pages")))
+    p = with_margins(latest(table(spark, sf_dir, "pages")))
     out = strip_margins(p, detect(p))
     return out.select("extraction_id", F.sha1("text").alias("text_sha1"), F.size(X.full_lines(F.col("text"))).alias("lines_left"))
 
 
-def _by_said_type(pages: DataFrame) -> DataFrame:
-    p = pages.where((X.strip(X.text("text")) != "") & X.text("page_type").isin("text", "backmatter", "index"))
-    return p.select("book_id", "page_number", "extraction_id", X.text("text").alias("text"))
-
-
-def q_margins_by_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with the assembly types, as an assembly uses it."""
-    return detect(with_margins(latest(table(spark, sf_dir, "pages"))))
-
-
-QUERIES = {"running_margins": q_running_margins, "stripped_margins": q_stripped_margins, "margins_by_kind": q_margins_by_kind}
+QUERIES = {"running_margins": q_running_margins, "stripped_margins": q_stripped_margins}
 
 _PROBABLE = f"({strip('line')} <> '' AND length({strip('line')}) <= 80 AND NOT {footnote_def(strip('line'))} AND {words(strip('line'))} <= 12)"
-_DETECT = f"""{CURRENT}, p AS (SELECT book_id, page_number, extraction_id, text FROM current WHERE {strip("coalesce(text, '')")} <> '' AND page_type IN ('text', 'backmatter', 'index')),
+_DETECT = f"""{KINDS}, p AS (SELECT book_id, page_number, extraction_id, text FROM kinds WHERE {strip("coalesce(text, '')")} <> '' AND kind IN {KINDS_WITH}),
     full_lines AS (SELECT *, list_filter(list_transform(string_split(text, chr(10)), lambda x: {strip('x')}), lambda x: x <> '') AS ls FROM p),
     edges AS (SELECT book_id, 'top' AS edge, unnest(ls[1:2]) AS line FROM full_lines UNION ALL SELECT book_id, 'bottom', unnest(ls[greatest(1, len(ls) - 1):len(ls)]) FROM full_lines),
     counts AS (SELECT book_id, edge, {margin_key('line')} AS key, count(*) AS times FROM edges WHERE {_PROBABLE} GROUP BY ALL),
     sizes AS (SELECT book_id, count(*) AS n FROM p GROUP BY book_id),
     margins AS (SELECT book_id, edge, key, times FROM counts JOIN sizes USING (book_id) WHERE key <> '' AND n >= 2 AND times >= CASE WHEN n <= 30 THEN 2 ELSE greatest(3, n * 12 // 100) END)"""
 _GONE = f"(NOT {footnote_def('s')} AND ({page_number('s')} OR (key <> '#' AND key <> '' AND hit)))"
-SQL = {
-    "running_margins": f"WITH {_DETECT} SELECT * FROM margins",
-    "stripped_margins": f"""WITH {_DETECT},
-        l AS (SELECT extraction_id, book_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM p),
+#: ``stripped``: extraction_id and text without margins, of the pages that have any.
+STRIPPED = f"""l AS (SELECT extraction_id, book_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM p),
         k AS (SELECT *, {strip('line')} AS s, {margin_key('line')} AS key FROM l),
         t AS (SELECT k.*, sum(CASE WHEN s <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY extraction_id ORDER BY n) AS pos, m.key IS NOT NULL AS hit FROM k LEFT JOIN margins m ON m.edge = 'top' AND m.book_id = k.book_id AND m.key = k.key),
         u AS (SELECT * EXCLUDE (line, s, hit, pos), CASE WHEN s <> '' AND pos <= 2 AND {_GONE} THEN '' ELSE line END AS line FROM t),
         v AS (SELECT u.*, {strip('u.line')} AS s, m.key IS NOT NULL AS hit FROM u LEFT JOIN margins m ON m.edge = 'bottom' AND m.book_id = u.book_id AND m.key = u.key),
         w AS (SELECT *, sum(CASE WHEN s <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY extraction_id ORDER BY n DESC) AS pos FROM v),
-        x AS (SELECT extraction_id, n, CASE WHEN s <> '' AND pos <= 2 AND {_GONE} THEN '' ELSE line END AS line FROM w)
-        SELECT extraction_id, sha1(string_agg(line, chr(10) ORDER BY n)) AS text_sha1, (count(*) FILTER (WHERE {strip('line')} <> ''))::INTEGER AS lines_left FROM x GROUP BY extraction_id""",
+        x AS (SELECT extraction_id, n, CASE WHEN s <> '' AND pos <= 2 AND {_GONE} THEN '' ELSE line END AS line FROM w),
+        stripped AS (SELECT extraction_id, string_agg(line, chr(10) ORDER BY n) AS text FROM x GROUP BY extraction_id)"""
+SQL = {
+    "running_margins": f"WITH {_DETECT} SELECT * FROM margins",
+    "stripped_margins": f"WITH {_DETECT}, {STRIPPED} SELECT extraction_id, sha1(text) AS text_sha1, (len(list_filter(string_split(text, chr(10)), lambda line: {strip('line')} <> '')))::INTEGER AS lines_left FROM stripped",
 }
