@@ -183,11 +183,101 @@ def extracted(pages: DataFrame) -> DataFrame:
     return d.select("extraction_id", (F.col("pos") + 1).alias("ord"), "n.id", "n.text")
 
 
-def with_superscript_refs(c: Column) -> Column:
-    """Superscript digits after a word as [^n]; an equal mark right beside is not doubled."""
-    out = F.regexp_replace(c, r"(?<=[\p{L}\p{P}])([⁰¹²³⁴⁵⁶⁷⁸⁹]+)", "[^$1]")
-    out = F.regexp_replace(F.translate(out, "⁰¹²³⁴⁵⁶⁷⁸⁹", "0123456789"), r"(\[\^([A-Za-z0-9]+)\])(?:\s*\[\^\2\])+", "$1")
-    return F.regexp_replace(out, r"\$\^\{?\\?(?:text)?\{?([A-Za-z0-9]+)\}*\$", "[^$1]")
+# Superscript digits and letters with what they stand for, and endings of ordinals.
+SUPER_DIGITS, PLAIN_DIGITS = "⁰¹²³⁴⁵⁶⁷⁸⁹", "0123456789"
+SUPER_LETTERS, PLAIN_LETTERS = "ᵃᵇᶜᵈᵉᶠᵍʰⁱʲᵏˡᵐⁿᵒᵖʳˢᵗᵘᵛʷˣʸᶻ", "abcdefghijklmnoprstuvwxyz"
+ORDINALS = "d|st|nd|rd|th"
+_ID = r"[A-Za-z0-9]{1,4}(?:-[A-Za-z0-9]+)?"
+_NUMBER_ID = r"\d{1,3}(?:-[A-Za-z0-9]+)?"
+
+
+def superscript_refs(c: Column) -> Column:
+    """Superscript digits as [^n]; an equal mark right beside is not doubled."""
+    out = F.translate(F.regexp_replace(c, f"([{SUPER_DIGITS}]+)", "[^$1]"), SUPER_DIGITS, PLAIN_DIGITS)
+    return F.regexp_replace(out, r"(\[\^([^\]]+)\])\s*\[\^\2\]", "$1")
+
+
+def letter_refs(c: Column, allowed: str = PLAIN_LETTERS) -> Column:
+    """Superscript letters, of the allowed ones, as [^a]."""
+    if not (some := "".join(u for u, x in zip(SUPER_LETTERS, PLAIN_LETTERS, strict=True) if x in allowed)):
+        return c
+    plain = "".join(x for u, x in zip(SUPER_LETTERS, PLAIN_LETTERS, strict=True) if u in some)
+    out = F.regexp_replace(c, rf"(?<!\[\^)([{some}])", "[^$1]")
+    for u, x in zip(some, plain, strict=True):
+        out = F.replace(out, F.lit(f"[^{u}]"), F.lit(f"[^{x}]"))
+    return F.regexp_replace(out, r"(?i)(\[\^([a-z])\])\s*\[\^\2\]", "$1")
+
+
+def dollar_refs(c: Column) -> Column:
+    """A mark caught at the end of a span of text between dollars: $x,^3$ and $x^{3}$ -> $x,$[^3]; formulas stay."""
+    out = F.regexp_replace(c, rf"\$([^$\n]*?[A-Za-zÀ-ɏ][^$\n]*?)\^({_NUMBER_ID})\$", r"\$$1\$[^$2]")
+    return F.regexp_replace(out, rf"\$([^$\n]*?[A-Za-z\\À-ɏ][^$\n]*?)\^\{{({_NUMBER_ID})\}}\$", r"\$$1\$[^$2]")
+
+
+def tex_refs(c: Column) -> Column:
+    r"""$^\text{a}$ -> [^a]; after a digit an ordinal's ending stays one (3$^\text{d}$ -> 3d)."""
+    mark = lambda x: rf"\$\^\s*(?:\{{\s*)?\\(?:text|mathrm)\s*\{{\s*({x})\s*\}}(?:\s*\}})?\$"
+    out = F.regexp_replace(c, rf"(?i)(?<=\d){mark(ORDINALS)}(?![A-Za-z0-9_])", "$1")
+    return F.regexp_replace(out, mark(_ID), "[^$1]")
+
+
+def caret_refs(c: Column) -> Column:
+    """word.^1 -> word.[^1], outside of dollars; an ordinal's ending after a digit stays one."""
+
+    def one(x: Column) -> Column:
+        x = F.regexp_replace(x, rf"(?i)(?<=\d)\^({ORDINALS})\b(?!-[A-Za-z0-9])", "$1")
+        return F.regexp_replace(x, rf"(?<![\[\\])\^({_ID})\b", "[^$1]")
+
+    return F.array_join(F.transform(F.split(c, r"\$", -1), lambda x, i: F.when(i % 2 == 0, one(x)).otherwise(x)), "$")
+
+
+def marked(c: Column) -> Column:
+    """All forms of a note's mark as [^id]."""
+    for f in (superscript_refs, letter_refs, dollar_refs, tex_refs, caret_refs):
+        c = f(c)
+    return c
+
+
+def healed(c: Column) -> Column:
+    """Paragraphs that a removed note had cut behind its mark, as one again."""
+
+    def add(acc: Column, x: Column) -> Column:
+        last = F.element_at(F.when(F.size(acc["out"]) > 0, acc["out"]), -1)
+        end, first = F.element_at(F.when(F.size(X.full_lines(last)) > 0, X.full_lines(last)), -1), F.get(X.full_lines(x), F.lit(0))
+        joins = ~acc["closed"] & F.coalesce(end.rlike(r"\[\^[^\]]+\][\"”’')\]]*\s*$") & first.rlike(r"^(?:[a-z]|['\"“‘(\[]\s*[a-z]|[,:;)\]])"), F.lit(False))
+        right = F.ltrim(X.strip(x))
+        merged = F.concat(F.regexp_replace(last, r"\s+$", ""), F.when(right.rlike(r"^[,.;:)\]}\"”’]"), "").otherwise(" "), F.regexp_replace(x, r"^\s+", ""))
+        out = F.when(joins, F.concat(F.slice(acc["out"], F.lit(1), F.greatest(F.lit(0), F.size(acc["out"]) - 1)), F.array(merged))).otherwise(F.concat(acc["out"], F.array(x)))
+        return F.struct(out.alias("out"), joins.alias("closed"))
+
+    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(False).alias("closed"))
+    return F.when(c.contains("[^"), F.array_join(F.aggregate(F.split(c, "\n\n", -1), start, add)["out"], "\n\n")).otherwise(c)
+
+
+def rewritten(chapters: DataFrame, ids: DataFrame) -> DataFrame:
+    """``chapter_id, body, changed``: references by the new ids of their notes (chapter_id, id, new_id)."""
+    # the notes of one chapter
+    per = ids.where("id is not null and new_id <> id").select("chapter_id", "id", "new_id").distinct().groupBy("chapter_id").agg(F.array_sort(F.collect_list(F.struct((-F.length("id")).alias("n"), "id", "new_id"))).alias("map"))
+    d = chapters.select("chapter_id", X.text("body").alias("body")).join(per, "chapter_id", "left")
+    body = F.aggregate("map", F.col("body"), lambda b, m: F.replace(b, F.concat(F.lit("[^"), m["id"], F.lit("]")), F.concat(F.lit("[^"), m["new_id"], F.lit("]"))))
+    return d.select("chapter_id", F.when(F.col("map").isNull(), F.col("body")).otherwise(body).alias("body"), F.coalesce(F.size("map"), F.lit(0)).alias("changed"))
+
+
+def q_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's text with its marks in one form, and how many there are then."""
+    p = table(spark, sf_dir, "pages")
+    d = p.select("extraction_id", X.text("text").alias("t")).withColumn("m", F.when(F.col("t").rlike(f"[{SUPER_DIGITS}{SUPER_LETTERS}^]"), marked(F.col("t"))).otherwise(F.col("t")))
+    return d.select("extraction_id", F.sha1("m").alias("text_sha1"), F.regexp_count("m", F.lit(r"\[\^[^\]]+\]")).alias("marks"))
+
+
+def q_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _chapters(spark, sf_dir)
+    d = rewritten(c, uniquified(definitions(c).where("id is not null")))
+    return d.select("chapter_id", F.sha1("body").alias("body_sha1"), "changed")
+
+
+def q_healed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _chapters(spark, sf_dir).select("chapter_id", F.sha1(healed(X.text("body"))).alias("body_sha1"))
 
 
 def _chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,6 +342,7 @@ def q_book_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "footnote_integrity": q_integrity, "footnote_dedup": q_dedup, "footnote_order": q_sorted, "footnote_unique_ids": q_uniquified, "footnote_families": q_families,
     "footnote_page_scoped": q_remapped, "footnote_reconcile": q_reconciled, "footnote_siblings": q_siblings, "footnotes_from_pages": q_extracted, "footnote_book_integrity": q_book_integrity,
+    "footnote_markers": q_markers, "footnote_bodies": q_rewritten, "footnote_healed": q_healed,
 }
 
 TEXT = "coalesce(text, '')"
@@ -288,3 +379,7 @@ SQL = {
         SELECT book_id, count(rid) AS refs, count(times) AS defs, count(*) FILTER (WHERE times IS NULL) AS orphaned, count(*) FILTER (WHERE rid IS NULL) AS unreferenced, count(*) FILTER (WHERE times > 1) AS repeated,
         count(*) FILTER (WHERE times IS NULL OR rid IS NULL OR times > 1) = 0 AS ok FROM j GROUP BY book_id""",
 }
+SQL["footnote_bodies"] = f"""WITH u AS ({SQL["footnote_unique_ids"]}), m AS (SELECT DISTINCT chapter_id, id, new_id FROM u WHERE id IS NOT NULL AND new_id <> id),
+    l AS (SELECT chapter_id, list(id || chr(1) || new_id ORDER BY length(id) DESC, id, new_id) AS ms FROM m GROUP BY chapter_id)
+    SELECT c.chapter_id, sha1(list_reduce(list_concat([coalesce(body, '')], coalesce(ms, [])), lambda b, x: replace(b, '[^' || split_part(x, chr(1), 1) || ']', '[^' || split_part(x, chr(1), 2) || ']'))) AS body_sha1, coalesce(len(ms), 0)::INTEGER AS changed
+    FROM chapters c LEFT JOIN l USING (chapter_id)"""

@@ -11,6 +11,16 @@ from quire.operators.pages import script_profile
 from quire.sources.tables import latest, table
 
 SEVERITY = ("critical", "high", "medium", "low")
+#: Issues of a whole book: name, severity, condition over its totals (SQL that both engines read).
+BOOK_RULES = (
+    ("footnote_count_mismatch_reader_vs_source", "high", "out_notes <> notes"),
+    ("footnote_count_mismatch_archival_vs_source", "high", "archival_notes <> notes"),
+    ("indic_script_loss_reader", "critical", "indic_chars > 0 and out_indic < indic_chars"),
+    ("indic_script_loss_archival", "critical", "indic_chars > 0 and archival_indic < indic_chars"),
+    ("quote_formatting_missed", "low", "quotes >= 5 and quoted_blocks = 0"),
+)
+#: Who repairs an issue that no fixed rule can.
+MANUAL, BY_MODEL = ("indic_script_loss_reader", "indic_script_loss_archival"), ("quote_formatting_missed",)
 
 
 def numbered_lines(df: DataFrame, key: list[str], text: Column) -> DataFrame:
@@ -108,22 +118,46 @@ def leak_issues(chapters: DataFrame) -> DataFrame:
     return d.withColumn("severity", F.when(F.col("issue") == "reader_running_header_leak", "high").otherwise("medium"))
 
 
-def book_issues(source: DataFrame, chapters: DataFrame) -> DataFrame:
-    """Loss of Indic script between the pages and the chapters of a book."""
-    out = chapters.groupBy("book_id").agg(F.sum(X.count_matches(X.text("body"), X.INDIC)).alias("out_indic"))
-    d = source.join(out, "book_id").where("indic_chars > 0 and out_indic < indic_chars")
-    return d.select("book_id", F.lit("indic_script_loss_reader").alias("issue"), F.lit("critical").alias("severity"))
+def output_totals(chapters: DataFrame) -> DataFrame:
+    """Per book, of chapters assembled twice once: Indic letters, notes and quoted blocks of the output."""
+    one = chapters.groupBy("book_id", "number").agg(F.max_by(F.struct("body", "footnotes"), "chapter_id").alias("c")).select("book_id", "c.*")
+    quoted = F.filter(F.split(X.text("body"), r"\n\s*\n"), lambda b: (X.strip(b) != "") & ~F.exists(X.full_lines(b), lambda x: ~x.startswith(">")))
+    d = one.select("book_id", X.count_matches(X.text("body"), X.INDIC).alias("i"), F.coalesce(F.size("footnotes"), F.lit(0)).alias("n"), F.size(quoted).alias("q"))
+    return d.groupBy("book_id").agg(F.sum("i").alias("out_indic"), F.sum("n").alias("out_notes"), F.sum("q").alias("quoted_blocks"))
+
+
+def archival_totals(pages: DataFrame) -> DataFrame:
+    """The same of an archival output, which keeps the pages' text as it is: by the raw text."""
+    t = X.text("raw_text")
+    return pages.groupBy("book_id").agg(F.sum(X.count_matches(t, X.INDIC)).alias("archival_indic"), F.sum(_notes(t)).alias("archival_notes"))
+
+
+def _notes(t: Column) -> Column:
+    return F.size(F.filter(X.full_lines(t), lambda x: x.rlike(r"^\[\^[^\]]+\](?::|\s)")))
+
+
+def book_issues(pages: DataFrame, chapters: DataFrame) -> DataFrame:
+    """Differences of a book's totals: notes and Indic letters lost in either output, quotations that stand in no quoted block.
+
+    A book without any chapter has lost all it had.
+    """
+    leading = F.size(F.filter(X.full_lines(X.text("text")), lambda x: x.rlike("^[\"'“‘]")))
+    src = pages.groupBy("book_id").agg(F.sum(X.count_matches(X.text("text"), X.INDIC)).alias("indic_chars"), F.sum(_notes(X.text("text"))).alias("notes"), F.sum(leading).alias("quotes"))
+    d = src.join(output_totals(chapters), "book_id", "left").join(archival_totals(pages), "book_id", "left").na.fill(0, ["out_indic", "out_notes", "quoted_blocks", "archival_indic", "archival_notes"])
+    rules = [(name, severity, F.expr(cond)) for name, severity, cond in BOOK_RULES]
+    found = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(n).alias("issue"), F.lit(v).alias("severity"))) for n, v, c in rules]))
+    return d.select("book_id", F.explode(found).alias("e")).select("book_id", "e.*")
 
 
 def difference(pages: DataFrame, chapters: DataFrame) -> DataFrame:
     """Issues per book, with all severities and repair classes counted, zeros kept."""
     risk = edges(pages).where("artifacts >= 2 and page_type in ('text', 'frontmatter', 'backmatter')").select("book_id", F.lit("high_header_leak_risk_page").alias("issue"), F.lit("low").alias("severity"))
-    parts = [title_issues(chapters), leak_issues(chapters), book_issues(source_totals(pages), chapters), risk]
+    parts = [title_issues(chapters), leak_issues(chapters), book_issues(pages, chapters), risk]
     all_ = parts[0].select("book_id", "issue", "severity")
     for p in parts[1:]:
         all_ = all_.unionByName(p.select("book_id", "issue", "severity"))
     counts = [F.count_if(F.col("severity") == s).alias(s) for s in SEVERITY]
-    return all_.groupBy("book_id").agg(F.count("*").alias("issues"), *counts, F.count_if(F.col("issue") == "indic_script_loss_reader").alias("manual_review"), F.count_distinct("issue").alias("kinds"))
+    return all_.groupBy("book_id").agg(F.count("*").alias("issues"), *counts, F.count_if(F.col("issue").isin(*MANUAL)).alias("manual_review"), F.count_if(F.col("issue").isin(*BY_MODEL)).alias("by_model"), F.count_distinct("issue").alias("kinds"))
 
 
 def hotspots(chapters: DataFrame, most: int = 200) -> DataFrame:
@@ -228,6 +262,14 @@ _LEAKS = f"""{_CLINES}, ls AS (SELECT *, {strip('line')} AS s, {loose("coalesce(
 _TOTALS = f"totals AS (SELECT book_id, count(*) AS pages, count(*) FILTER (WHERE page_type = 'blank') AS blank_pages, sum({_IND.replace("@", _T)})::BIGINT AS indic_chars, sum({_NON.replace("@", _T)})::BIGINT AS non_ascii_chars, sum({words(_T)})::BIGINT AS words FROM current GROUP BY book_id)"
 _EDGES = f"""e0 AS (SELECT extraction_id, book_id, page_type, {_FULL} AS ls FROM current), e1 AS (SELECT extraction_id, unnest(ls[1:3]) AS line FROM e0), ea AS (SELECT extraction_id, count(*) FILTER (WHERE {_ARTIFACT}) AS artifacts FROM e1 GROUP BY extraction_id),
     edges AS (SELECT e0.extraction_id, book_id, page_type, array_to_string(ls[1:3], chr(10)) AS top, array_to_string(ls[greatest(1, len(ls) - 2):len(ls)], chr(10)) AS bottom, coalesce(artifacts, 0) AS artifacts FROM e0 LEFT JOIN ea USING (extraction_id))"""
+_RFULL = f"list_filter(list_transform(string_split(@, chr(10)), lambda x: {strip('x')}), lambda x: x <> '')"
+_NOTES = f"len(list_filter({_RFULL}, lambda x: {has('x', '^' + chr(92) + '[' + chr(92) + '^[^' + chr(92) + ']]+' + chr(92) + '](?::|' + chr(92) + 's)')}))"
+_RAW = "coalesce(raw_text, '')"
+_QUOTED = f"len(list_filter(regexp_split_to_array({_B}, '\\n\\s*\\n'), lambda b: {strip('b')} <> '' AND len(list_filter({_RFULL.replace('@', 'b')}, lambda x: NOT starts_with(x, '>'))) = 0))"
+_BOOKS = f"""bs AS (SELECT book_id, sum({_IND.replace("@", _T)}) AS indic_chars, sum({_NOTES.replace("@", _T)}) AS notes, sum(len(list_filter({_RFULL.replace("@", _T)}, lambda x: {has('x', '^["' + chr(39) + '“‘]')}))) AS quotes,
+        sum({_IND.replace("@", _RAW)}) AS archival_indic, sum({_NOTES.replace("@", _RAW)}) AS archival_notes FROM current GROUP BY book_id),
+    bo AS (SELECT book_id, sum({_IND.replace("@", _B)}) AS out_indic, sum(coalesce(len(footnotes), 0)) AS out_notes, sum({_QUOTED}) AS quoted_blocks FROM (SELECT * FROM chapters QUALIFY row_number() OVER (PARTITION BY book_id, number ORDER BY chapter_id DESC) = 1) GROUP BY book_id),
+    bt AS (SELECT bs.*, coalesce(out_indic, 0) AS out_indic, coalesce(out_notes, 0) AS out_notes, coalesce(quoted_blocks, 0) AS quoted_blocks FROM bs LEFT JOIN bo USING (book_id))"""
 SQL = {
     "page_blocks": f"WITH {CURRENT}, {LINES}, {_blocks_sql('extraction_id', 'lines')} SELECT * FROM blocks",
     "chapter_blocks": f"WITH {_CLINES}, {_blocks_sql('chapter_id', 'clines')} SELECT chapter_id, type, count(*) AS blocks, sum(line_count)::BIGINT AS lines, sum(char_count)::BIGINT AS chars FROM blocks GROUP BY ALL",
@@ -240,10 +282,10 @@ SQL = {
         r AS (SELECT book_id, min(page_number) AS a, max(page_number) AS b FROM d GROUP BY book_id, run) SELECT book_id, string_agg(CASE WHEN a = b THEN a::VARCHAR ELSE a || '-' || b END, ', ' ORDER BY a) AS ranges FROM r GROUP BY book_id""",
     "title_issues": f"WITH {_TITLES} SELECT * FROM title_issues",
     "reader_leaks": f"WITH {_LEAKS} SELECT * FROM leaks",
-    "structural_difference": f"""WITH {CURRENT}, {_TITLES}, {_LEAKS}, {_TOTALS}, {_EDGES}, o AS (SELECT book_id, sum({_IND.replace("@", _B)}) AS out_indic FROM chapters GROUP BY book_id),
-        i AS (SELECT book_id, issue, severity FROM title_issues UNION ALL SELECT book_id, issue, severity FROM leaks UNION ALL SELECT book_id, 'indic_script_loss_reader', 'critical' FROM totals JOIN o USING (book_id) WHERE indic_chars > 0 AND out_indic < indic_chars
+    "structural_difference": f"""WITH {CURRENT}, {_TITLES}, {_LEAKS}, {_EDGES}, {_BOOKS},
+        i AS (SELECT book_id, issue, severity FROM title_issues UNION ALL SELECT book_id, issue, severity FROM leaks UNION ALL {" UNION ALL ".join(f"SELECT book_id, '{n}', '{v}' FROM bt WHERE {c}" for n, v, c in BOOK_RULES)}
             UNION ALL SELECT book_id, 'high_header_leak_risk_page', 'low' FROM edges WHERE artifacts >= 2 AND page_type IN ('text', 'frontmatter', 'backmatter'))
-        SELECT book_id, count(*) AS issues, {', '.join(f"count(*) FILTER (WHERE severity = '{s}') AS {s}" for s in SEVERITY)}, count(*) FILTER (WHERE issue = 'indic_script_loss_reader') AS manual_review, count(DISTINCT issue) AS kinds FROM i GROUP BY book_id""",
+        SELECT book_id, count(*) AS issues, {', '.join(f"count(*) FILTER (WHERE severity = '{s}') AS {s}" for s in SEVERITY)}, count(*) FILTER (WHERE issue IN {MANUAL}) AS manual_review, count(*) FILTER (WHERE issue = '{BY_MODEL[0]}') AS by_model, count(DISTINCT issue) AS kinds FROM i GROUP BY book_id""",
     "hotspots": f"""WITH {_CLINES}, a AS (SELECT *, {strip('line')} AS s, {title_kind('title')} AS kind FROM clines), b AS (SELECT book_id, chapter_id, number, line_no, s, kind, length(regexp_replace(s, '[^\\p{{L}}]', '', 'g')) AS n, length(regexp_replace(s, '[^\\p{{Lu}}]', '', 'g')) AS u,
             trim(regexp_replace(regexp_replace(lower(s), '[^a-z0-9\\s#]', ' ', 'g'), '\\s+', ' ', 'g')) AS key FROM a WHERE s <> ''),
         c AS (SELECT *, length(s) <= 80 AND {words('s')} <= 8 AND n >= 4 AND u * 10 >= n * 8 AND NOT {has('s', '^[#|>\\[]')} AS header FROM b),

@@ -71,7 +71,7 @@ def test_page_ranges(spark):
 def test_footnote_ids(spark):
     assert one(spark, "a-p12-2", footnotes.base_id) == "a"
     assert one(spark, "c3-a", footnotes.marker_letter) == "a"
-    assert one(spark, "x[^1]¹", footnotes.with_superscript_refs) == "x[^1]"
+    assert one(spark, "x[^1]¹", footnotes.superscript_refs) == "x[^1]"
     d = spark.createDataFrame([(1, i, x) for i, x in enumerate(("10", "2", "b", "a"))], "c int, ord int, id string")
     assert [r["id"] for r in d.orderBy(*footnotes.sort_key(F.col("id"))).collect()] == ["2", "10", "a", "b"]
 
