@@ -1,4 +1,4 @@
-"""Structural maps of source and output, blocks, hotspots, and the difference report."""
+"""Structural maps of source and output, blocks, and the difference report."""
 
 from __future__ import annotations
 
@@ -160,28 +160,6 @@ def difference(pages: DataFrame, chapters: DataFrame) -> DataFrame:
     return all_.groupBy("book_id").agg(F.count("*").alias("issues"), *counts, F.count_if(F.col("issue").isin(*MANUAL)).alias("manual_review"), F.count_if(F.col("issue").isin(*BY_MODEL)).alias("by_model"), F.count_distinct("issue").alias("kinds"))
 
 
-def hotspots(chapters: DataFrame, most: int = 200) -> DataFrame:
-    """Lines of a book that deserve a look, the first ``most`` of each book in reading order.
-
-    suspicious_boundary_merge, malformed_page_token, header_like_body_line and
-    repeated_header_like_line (a line three times or more in the book).
-    """
-    lines = numbered_lines(chapters, ["book_id", "chapter_id", "number", "title"], F.col("body")).withColumn("s", X.strip(F.col("line")))
-    t = X.title_kind(F.col("title"))
-    letters, upper = F.length(F.regexp_replace("s", r"[^\p{L}]", "")), F.length(F.regexp_replace("s", r"[^\p{Lu}]", ""))
-    header = (F.length("s") <= 80) & (X.words(F.col("s")) <= 8) & (letters >= 4) & (upper * 10 >= letters * 8) & ~F.col("s").rlike(r"^[#|>\[]")
-    d = lines.where("s <> ''").select("book_id", "chapter_id", "number", "line_no", "s", t.alias("kind"), header.alias("header"), X.simple(F.col("s")).alias("key"))
-    merged = d.where(F.col("s").rlike(r"[a-z]{4,}-[A-Z]{4,}|[a-z]{5,}[A-Z]{5,}")).select("*", F.lit("suspicious_boundary_merge").alias("category"), F.when(F.col("s").rlike(r"[a-z]{4,}-[A-Z]{4,}"), "high").otherwise("medium").alias("severity"))
-    token = d.where(F.col("s").rlike(r"(?:^|[^\\])[\[{]\d{2,4}")).select("*", F.lit("malformed_page_token").alias("category"), F.lit("medium").alias("severity"))
-    like = d.where(F.col("header") & ~F.col("kind").isin("frontmatter", "preface", "index")).select("*", F.lit("header_like_body_line").alias("category"), F.lit("low").alias("severity"))
-    many = d.where("header and key <> ''").groupBy("book_id", "key").agg(F.count("*").alias("times")).where("times >= 3").select("book_id", "key")
-    again = d.where("header and kind not in ('introduction', 'preface')").join(many, ["book_id", "key"]).withColumn("k", F.row_number().over(Window.partitionBy("book_id", "key").orderBy("number", "chapter_id", "line_no"))).where("k <= 8")
-    again = again.drop("k").select(*d.columns, F.lit("repeated_header_like_line").alias("category"), F.lit("medium").alias("severity"))
-    out = merged.unionByName(token).unionByName(like).unionByName(again)
-    w = Window.partitionBy("book_id").orderBy("number", "chapter_id", "line_no", "category")
-    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most).select("book_id", "chapter_id", "line_no", "category", "severity", "s", "rank")
-
-
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest(table(spark, sf_dir, "pages"))
 
@@ -227,13 +205,9 @@ def q_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return difference(_pages(spark, sf_dir), table(spark, sf_dir, "chapters"))
 
 
-def q_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hotspots(table(spark, sf_dir, "chapters"))
-
-
 QUERIES = {
     "page_blocks": q_page_blocks, "chapter_blocks": q_chapter_blocks, "source_totals": q_source_totals, "page_edges": q_edges, "output_sections": q_sections, "blank_page_ranges": q_blank_ranges,
-    "title_issues": q_title_issues, "reader_leaks": q_leaks, "structural_difference": q_difference, "hotspots": q_hotspots,
+    "title_issues": q_title_issues, "reader_leaks": q_leaks, "structural_difference": q_difference,
 }
 
 
@@ -286,15 +260,4 @@ SQL = {
         i AS (SELECT book_id, issue, severity FROM title_issues UNION ALL SELECT book_id, issue, severity FROM leaks UNION ALL {" UNION ALL ".join(f"SELECT book_id, '{n}', '{v}' FROM bt WHERE {c}" for n, v, c in BOOK_RULES)}
             UNION ALL SELECT book_id, 'high_header_leak_risk_page', 'low' FROM edges WHERE artifacts >= 2 AND page_type IN ('text', 'frontmatter', 'backmatter'))
         SELECT book_id, count(*) AS issues, {', '.join(f"count(*) FILTER (WHERE severity = '{s}') AS {s}" for s in SEVERITY)}, count(*) FILTER (WHERE issue IN {MANUAL}) AS manual_review, count(*) FILTER (WHERE issue = '{BY_MODEL[0]}') AS by_model, count(DISTINCT issue) AS kinds FROM i GROUP BY book_id""",
-    "hotspots": f"""WITH {_CLINES}, a AS (SELECT *, {strip('line')} AS s, {title_kind('title')} AS kind FROM clines), b AS (SELECT book_id, chapter_id, number, line_no, s, kind, length(regexp_replace(s, '[^\\p{{L}}]', '', 'g')) AS n, length(regexp_replace(s, '[^\\p{{Lu}}]', '', 'g')) AS u,
-            trim(regexp_replace(regexp_replace(lower(s), '[^a-z0-9\\s#]', ' ', 'g'), '\\s+', ' ', 'g')) AS key FROM a WHERE s <> ''),
-        c AS (SELECT *, length(s) <= 80 AND {words('s')} <= 8 AND n >= 4 AND u * 10 >= n * 8 AND NOT {has('s', '^[#|>\\[]')} AS header FROM b),
-        m AS (SELECT book_id, key FROM c WHERE header AND key <> '' GROUP BY ALL HAVING count(*) >= 3),
-        r AS (SELECT c.* FROM c JOIN m USING (book_id, key) WHERE header AND kind NOT IN ('introduction', 'preface') QUALIFY row_number() OVER (PARTITION BY book_id, key ORDER BY number, chapter_id, line_no) <= 8),
-        o AS (SELECT book_id, chapter_id, number, line_no, s, 'suspicious_boundary_merge' AS category, CASE WHEN {has('s', '[a-z]{4,}-[A-Z]{4,}')} THEN 'high' ELSE 'medium' END AS severity FROM c WHERE {has('s', '[a-z]{4,}-[A-Z]{4,}|[a-z]{5,}[A-Z]{5,}')}
-            UNION ALL SELECT book_id, chapter_id, number, line_no, s, 'malformed_page_token', 'medium' FROM c WHERE {has('s', '(?:^|[^' + chr(92) * 2 + '])[' + chr(92) + '[{][0-9]{2,4}')}
-            UNION ALL SELECT book_id, chapter_id, number, line_no, s, 'header_like_body_line', 'low' FROM c WHERE header AND kind NOT IN ('frontmatter', 'preface', 'index')
-            UNION ALL SELECT book_id, chapter_id, number, line_no, s, 'repeated_header_like_line', 'medium' FROM r),
-        k AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY number, chapter_id, line_no, category) AS rank FROM o)
-        SELECT book_id, chapter_id, line_no::INTEGER AS line_no, category, severity, s, rank::INTEGER AS rank FROM k WHERE rank <= 200""",
 }

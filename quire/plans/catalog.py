@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quire.operators import chapters, cleaning, cleanup, footnotes, maps, margins, pages, responses
+from quire.operators import chapters, cleaning, cleanup, footnotes, maps, margins, pages, responses, review
 from quire.operators import tables as markdown_tables
 from quire.sources import tables
 from quire.streaming import events
 
-_MODULES = [tables, pages, margins, footnotes, chapters, maps, cleanup, cleaning, markdown_tables, responses, events]
+_MODULES = [tables, pages, margins, footnotes, chapters, maps, cleanup, cleaning, markdown_tables, review, responses, events]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
