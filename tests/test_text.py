@@ -59,8 +59,9 @@ def test_boundary(spark, left, right, mode):
 
 
 def test_catchword(spark):
-    df = spark.createDataFrame([("by his command,", "command, and so")], "l string, r string")
-    assert df.select(chapters.catchword_dropped(F.col("l"), F.col("r")).alias("r")).first()["r"] == "and so"
+    df = spark.createDataFrame([("by his command,", "command, and so"), ("the againſt", "against Warunkul it"), ("a com-", "mand"), ("the command", "command.")], "l string, r string")
+    got = [r["r"] for r in df.select(chapters.without_catchword(chapters.catchword(F.col("l")), F.col("r")).alias("r")).collect()]
+    assert got == ["and so", "Warunkul it", "mand", "command."]
 
 
 def test_page_ranges(spark):
@@ -125,6 +126,10 @@ def test_streams(spark, tmp_path):
     rows = [("x", "page", "b", "v", "{}", t), ("x", "page", "b", "v", "{}", t), ("y", "page", "b", "v", "{}", t + dt.timedelta(minutes=5)), ("z", "end", None, "v", None, None)]
     spark.createDataFrame(rows, events.EVENT_SCHEMA).write.json(str(tmp_path / "log"))
     src = lambda: events.read_stream(spark, str(tmp_path / "log"))
-    got = events.run_once(events.hourly(src()), "hours", "complete").collect()
-    assert [(r["event"], r["events"]) for r in got] == [("page", 2)]
-    assert events.run_once(events.progress(src()), "seen", "update").collect()[-1]["events"] == 3
+    late = [("w", "page", "b", "v", "{}", t + dt.timedelta(hours=9))]
+    spark.createDataFrame(late, events.EVENT_SCHEMA).write.mode("append").json(str(tmp_path / "log"))
+    got = events.run_once(events.hourly(src())).collect()
+    assert [(r["event"], r["events"], r["hour"].hour) for r in got] == [("page", 2, 10)]
+    assert [r["events"] for r in events.run_once(events.bursts(src())).collect()] == [3]
+    events.upsert_stream(events.progress(src()), str(tmp_path / "seen"), str(tmp_path / "state"), ["book_id"])
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "seen")).select("book_id", "events").collect()] == [("b", 4)]
