@@ -120,7 +120,7 @@ def q_headings_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_block_styles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = blocks(numbered_lines(table(spark, sf_dir, "chapters"), ["chapter_id"], F.col("body")), ["chapter_id"])
+    b = blocks(table(spark, sf_dir, "chapters"), ["chapter_id"], F.col("body"))
     return block_style(b, ["chapter_id"])
 
 

@@ -28,28 +28,25 @@ def numbered_lines(df: DataFrame, key: list[str], text: Column) -> DataFrame:
     return df.select(*key, F.posexplode(X.lines(X.text(text))).alias("pos", "line")).select(*key, (F.col("pos") + 1).alias("line_no"), "line")
 
 
-def blocks(lines: DataFrame, key: list[str]) -> DataFrame:
+def blocks(df: DataFrame, key: list[str], text: Column) -> DataFrame:
     """Runs of lines that are not blank, with type, span, sizes and hash.
 
-    Gaps and islands within one page or chapter: line number less rank is
-    constant over a run.  A run of table rows only is a table, of quoted lines
-    only a blockquote; else its first line decides.
+    A run starts at a full line below a blank one and ends above the next; both
+    are found in the array of lines, so nothing is shuffled.  A run of table rows
+    only is a table, of quoted lines only a blockquote; else its first line decides.
     """
-    full = lines.where(X.strip(F.col("line")) != "")
-    w = Window.partitionBy(*key).orderBy("line_no")
-    run = full.withColumn("run", F.col("line_no") - F.row_number().over(w))
-    part = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    g = run.groupBy(*key, "run").agg(
-        F.min("line_no").alias("line_start"), F.max("line_no").alias("line_end"), F.count("*").alias("line_count"), F.array_join(F.transform(part, lambda x: x["line"]), "\n").alias("text"),
-        F.bool_and(X.strip(F.col("line")).startswith("|")).alias("rows"), F.bool_and(X.strip(F.col("line")).startswith(">")).alias("quoted"), F.min_by("line", "line_no").alias("head"),
-    )
-    first = X.line_class(F.col("head"))
+    d = df.select(*key, X.lines(X.text(text)).alias("ls")).withColumn("full", F.transform("ls", lambda x: X.strip(x) != ""))
+    beside = lambda i, by: F.coalesce(F.get("full", i + by), F.lit(False))
+    edge = lambda by: F.filter(F.transform("full", lambda x, i: F.when(x & ~beside(i, by), i + 1)), lambda i: i.isNotNull())
+    d = d.select(*key, "ls", F.explode(F.arrays_zip(edge(-1).alias("a"), edge(1).alias("b"))).alias("run"))
+    d = d.select(*key, F.col("run.a").alias("line_start"), F.col("run.b").alias("line_end"), F.slice("ls", F.col("run.a"), F.col("run.b") - F.col("run.a") + 1).alias("part"))
+    d = d.withColumns({"text": F.array_join("part", "\n"), "first": X.line_class(F.get("part", F.lit(0)))})
     kind = (
-        F.when(F.col("rows"), "table").when(F.col("quoted"), "blockquote").when(first == "footnote_def", "footnote_block")
-        .when(first.isin("chapter_heading", "title_heading", "heading", "chapterish_label"), "heading_block")
-        .when(first.isin("page_number", "running_header_with_page", "scan_noise"), "artifact_candidate").otherwise("prose_block")
+        F.when(F.forall("part", lambda x: X.strip(x).startswith("|")), "table").when(F.forall("part", lambda x: X.strip(x).startswith(">")), "blockquote").when(F.col("first") == "footnote_def", "footnote_block")
+        .when(F.col("first").isin("chapter_heading", "title_heading", "heading", "chapterish_label"), "heading_block")
+        .when(F.col("first").isin("page_number", "running_header_with_page", "scan_noise"), "artifact_candidate").otherwise("prose_block")
     )
-    return g.select(*key, kind.alias("type"), "line_start", "line_end", "line_count", F.length("text").alias("char_count"), F.sha1("text").alias("sha1"), "text")
+    return d.select(*key, kind.alias("type"), "line_start", "line_end", F.size("part").cast("long").alias("line_count"), F.length("text").alias("char_count"), F.sha1("text").alias("sha1"), "text")
 
 
 def page_ranges(df: DataFrame, key: list[str], page: str = "page_number") -> DataFrame:
@@ -165,12 +162,12 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks(numbered_lines(_pages(spark, sf_dir), ["extraction_id"], F.col("text")), ["extraction_id"]).drop("text")
+    return blocks(_pages(spark, sf_dir), ["extraction_id"], F.col("text")).drop("text")
 
 
 def q_chapter_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks of each type in each chapter."""
-    b = blocks(numbered_lines(table(spark, sf_dir, "chapters"), ["chapter_id"], F.col("body")), ["chapter_id"])
+    b = blocks(table(spark, sf_dir, "chapters"), ["chapter_id"], F.col("body"))
     return b.groupBy("chapter_id", "type").agg(F.count("*").alias("blocks"), F.sum("line_count").alias("lines"), F.sum("char_count").alias("chars"))
 
 
