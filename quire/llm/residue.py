@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from re import _parser
 
 import pyarrow as pa
 import xxhash
@@ -85,6 +87,36 @@ EDGE = 4
 TERM = 4
 
 
+def literals(pattern: str) -> set[str]:
+    """Strings in lower case of which every match of a pattern holds one; found from the pattern itself."""
+
+    def best(items) -> set[str] | None:
+        found, run = [], ""
+        for op, arg in [*items, (None, None)]:
+            if op is _parser.LITERAL:
+                run += chr(arg).lower()
+                continue
+            if run:
+                found.append({run})
+                run = ""
+            if op is _parser.SUBPATTERN:
+                found.append(best(arg[3]))
+            elif op is _parser.BRANCH:
+                each = [best(x) for x in arg[1]]
+                found.append(set().union(*each) if all(each) else None)
+            elif op in (_parser.MAX_REPEAT, _parser.MIN_REPEAT) and arg[0]:
+                found.append(best(arg[2]))
+        return max((f for f in found if f), key=lambda f: (min(map(len, f)), -len(f)), default=None)
+
+    if not (out := best(_parser.parse(pattern))):
+        raise ValueError(f"no literal in {pattern}")
+    return out
+
+
+def _may(low: Column, pattern: str) -> Column:
+    return reduce(Column.__or__, [low.contains(x) for x in sorted(literals(pattern))])
+
+
 def _slug_terms(c: Column) -> Column:
     return F.filter(F.split(F.lower(c), r"[^\p{L}\p{M}]+"), lambda w: F.length(w) >= 5)
 
@@ -124,18 +156,19 @@ def responses(pages: DataFrame, books: DataFrame) -> DataFrame:
         ((F.length(x) <= 24) & F.regexp_replace(x, r"[^\p{L}]+", "").rlike(r"^(?i:[ivxlc]{0,8}|page|p)$"))
         | (F.lower(F.trim(x)) == host)
         | x.rlike(r"(?i)^\s*home \|")
-        | ((F.length(x) <= F.col("longest")) & shared(_slug_terms(x)))
+        | ((F.length(x) <= F.col("longest")) & F.exists("own", lambda w: F.lower(x).contains(w)) & shared(_slug_terms(x)))
     )
     lines = F.filter("ls", lambda x, i: ~(((i < EDGE) | (i >= F.size("ls") - EDGE)) & furniture(x)))
-    p = p.withColumn("left", F.array_join(lines, "\n"))
+    p = p.withColumn("left", F.array_join(lines, "\n")).withColumn("low", F.lower("left"))
     known = F.array(*map(F.lit, FILLER_WORDS))
     split = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{M}]+"), lambda w: w != "")
     share = lambda w: F.coalesce(F.try_divide(F.size(F.filter(w, lambda x: F.array_contains(known, x))), F.size(w)), F.lit(0.0))
-    maybe = F.lower("raw").rlike(r"lorem|ipsum|eiusmod|consectetur")
+    maybe = reduce(Column.__or__, [F.col("low").contains(w) for w in ("lorem", "ipsum", "eiusmod", "consectetur")])
     words, unwrapped = split(F.col("raw")), split(F.regexp_replace("raw", r"\n", ""))
     lorem = F.when(maybe, (F.size(words) >= 5) & (F.greatest(share(words), share(unwrapped)) >= 0.6)).otherwise(False)
-    remark = F.col("left").rlike(REMARKS)
-    p = p.withColumns({"words": split(F.col("left")), "remark": remark, "f": F.col("left").rlike(FILLER_PHRASES), "e": F.col("left").rlike(ERRORS), "n": F.col("left").rlike(NOTICES)})
+    remark = F.when(_may(F.col("low"), REMARKS), F.col("left").rlike(REMARKS)).otherwise(False)
+    p = p.withColumns({"words": split(F.col("left")), "remark": remark})
+    p = p.withColumns({k: F.when(_may(F.col("low"), x), F.col("left").rlike(x)).otherwise(False) for k, x in (("f", FILLER_PHRASES), ("e", ERRORS), ("n", NOTICES))})
     part = lambda hit, x: F.when(~F.col("remark") & F.col(hit), _covered(F.col("left"), x)).otherwise(0.0)
     p = p.withColumns({"f": part("f", FILLER_PHRASES), "e": part("e", ERRORS), "n": part("n", NOTICES)})
     few = F.size("words") >= WORDS
@@ -152,9 +185,26 @@ def responses(pages: DataFrame, books: DataFrame) -> DataFrame:
 _TERMS = re.compile(rf"(?:[^\W\d_]|[\u0300-\u036fऀ-ॣॱ-ॿ\u0b80-\u0bff]){{{TERM},}}")
 
 
-def _terms(book: str | None, text: str) -> list[int]:
-    """Hashes of a book with each distinct term of a text."""
-    return [xxhash.xxh64_intdigest(f"{book}|{t}") - (1 << 63) for t in set(_TERMS.findall(text.lower()))]
+_UNSEEN = dict.fromkeys(map(ord, "​‌‍⁠﻿­"))
+
+
+class Terms:
+    """Hashes of a book with each distinct term of a text; remembers those of terms and books."""
+
+    def __init__(self):
+        self.seen: dict[str, int] = {}
+
+    def hash(self, word: str) -> int:
+        if (h := self.seen.get(word)) is None:
+            if len(self.seen) > 500_000:
+                self.seen.clear()
+            self.seen[word] = h = xxhash.xxh64_intdigest(word)
+        return h
+
+    def of(self, book: str | None, text: str) -> list[int]:
+        text = (text if text.isascii() else text.translate(_UNSEEN)).lower()
+        own = self.hash(f"of {book}")
+        return [(self.hash(t) ^ own) - (1 << 63) for t in set(_TERMS.findall(text))]
 
 
 def unknown_share(suspects: DataFrame, pages: DataFrame) -> DataFrame:
@@ -165,8 +215,9 @@ def unknown_share(suspects: DataFrame, pages: DataFrame) -> DataFrame:
     """
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Terms()
         for b in batches:
-            rows = [(e, book, h) for e, book, t in zip(*[c.to_pylist() for c in b.columns], strict=True) for h in _terms(book, t)]
+            rows = [(e, book, h) for e, book, t in zip(*[c.to_pylist() for c in b.columns], strict=True) for h in known.of(book, t)]
             e, book, h = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()), pa.array(book, pa.string()), pa.array(h, pa.int64())], ["extraction_id", "book_id", "h"])
 
@@ -175,20 +226,20 @@ def unknown_share(suspects: DataFrame, pages: DataFrame) -> DataFrame:
     wanted = pages.sparkSession.sparkContext.broadcast(bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = wanted.value
-        top = len(words) * 64 - 1
+        bits, known = wanted.value.astype("<i8").tobytes(), Terms()
+        top = len(bits) * 8 - 1
         for b in batches:
             n: dict[int, int] = {}
             for lo in range(0, b.num_rows, 500):
                 part = b.slice(lo, 500)
                 for book, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    for h in _terms(book, t or ""):
+                    for h in known.of(book, t or ""):
                         at = h & top
-                        if words[at >> 6] >> (at & 63) & 1:
+                        if bits[at >> 3] >> (at & 7) & 1:
                             n[h] = n.get(h, 0) + 1
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.int64()), pa.array(list(n.values()), pa.int64())], ["h", "n"])
 
-    every = spread(pages.select("book_id", _plain(F.col("raw_text")).alias("raw"))).mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+    every = spread(pages.select("book_id", "raw_text")).mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
     rows = own.groupBy("h").agg(F.count("*").alias("mine"))
     stands = every.join(rows, "h").select("h", (F.col("n") > F.col("mine")).alias("stands"))
     per = own.join(stands, "h", "left").groupBy("extraction_id").agg(F.avg(F.coalesce("stands", F.lit(False)).cast("double")).alias("known"))

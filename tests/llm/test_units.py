@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quire.llm import abuse, canonical, mixing, repeats, scans, splitting, tokens, trie, truncation, words
+from quire.llm import abuse, canonical, mixing, repeats, residue, scans, splitting, tokens, trie, truncation, words
 from quire.llm.common import LOOKALIKE_FROM, LOOKALIKE_TO
 
 
@@ -169,6 +169,12 @@ def test_regression_learns():
     assert held[0] > 1 > -1 > held[1]
 
 
+def test_patterns_name_what_they_need():
+    assert residue.literals("(?:drive|root) (?:out|them out)") == {"drive", "root"}
+    for pattern in (residue.ERRORS, residue.NOTICES, residue.FILLER_PHRASES, residue.REMARKS):
+        assert all(x == x.lower() and len(x) >= 4 for x in residue.literals(pattern))
+
+
 def test_rates_meet_targets():
     member, tokens_ = np.array([[1.0, 0.0], [0.0, 1.0], [0.5, 0.5], [0.0, 1.0]]), np.array([100.0, 20.0, 40.0, 0.0])
     labelled, caps, target = np.array([True, True, False, True]), np.array([2.0, 1.0, 1.0, 1.0]), np.array([60.0, 30.0])
