@@ -43,6 +43,8 @@ PLACEHOLDERS = (
     r"(?i)\[\s*(?:insert|add|enter|put|paste)\s[\p{L}\s]{2,60}?\]",
     r"(?i)\[[\p{L}\s]{2,60}?\s(?:to come|goes here|tbd|pending|forthcoming|to be (?:supplied|added|inserted))\s*\]",
 )
+#: In lower case one of the first stands in every placeholder, or a bracket with one of the second.
+PLACEHOLDER_SIGNS, BRACKETED = ("{", "<%", "%%", "@@", "[[", "<<", "__"), ("insert", "add", "enter", "put", "paste", "to come", "goes here", "tbd", "pending", "forthcoming", "to be ")
 #: Words of the usual filler text.
 FILLER_WORDS = (
     "lorem ipsum dolor sit amet consectetur adipiscing adipisicing elit sed do eiusmod tempor incididunt ut labore et dolore "
@@ -143,7 +145,9 @@ def responses(pages: DataFrame, books: DataFrame) -> DataFrame:
     """
     b = books.groupBy("book_id").agg(F.max("title").alias("title"), F.max("source").alias("source"))
     p = pages.select("extraction_id", "book_id", "page_number", "page_type", "chapter_heading", _plain(F.col("raw_text")).alias("raw")).join(b, "book_id", "left")
-    marks = F.col("raw").rlike(r"[{\[<@%$_]")
+    p = p.withColumn("low", F.lower("raw"))
+    any_of = lambda signs: reduce(Column.__or__, [F.col("low").contains(x) for x in signs])
+    marks = any_of(PLACEHOLDER_SIGNS) | (F.col("low").contains("[") & any_of(BRACKETED))
     p = p.withColumn("placeholder", F.when(marks, F.col("raw").rlike("|".join(f"(?:{x})" for x in PLACEHOLDERS))).otherwise(False))
     # furniture: lines that hold the book's own words, a number, or the host's navigation
     own = F.array_union(F.array_union(_slug_terms(F.coalesce("book_id", F.lit(""))), _slug_terms(F.coalesce("title", F.lit("")))), _slug_terms(F.coalesce("chapter_heading", F.lit(""))))
@@ -159,7 +163,7 @@ def responses(pages: DataFrame, books: DataFrame) -> DataFrame:
         | ((F.length(x) <= F.col("longest")) & F.exists("own", lambda w: F.lower(x).contains(w)) & shared(_slug_terms(x)))
     )
     lines = F.filter("ls", lambda x, i: ~(((i < EDGE) | (i >= F.size("ls") - EDGE)) & furniture(x)))
-    p = p.withColumn("left", F.array_join(lines, "\n")).withColumn("low", F.lower("left"))
+    p = p.withColumn("left", F.array_join(lines, "\n"))
     known = F.array(*map(F.lit, FILLER_WORDS))
     split = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{M}]+"), lambda w: w != "")
     share = lambda w: F.coalesce(F.try_divide(F.size(F.filter(w, lambda x: F.array_contains(known, x))), F.size(w)), F.lit(0.0))
@@ -182,7 +186,8 @@ def responses(pages: DataFrame, books: DataFrame) -> DataFrame:
     return p.select("extraction_id", "book_id", "source", "placeholder", "filler", "error", "notice", "wholly", "dull", "response", F.size(F.array_distinct("words")).alias("variety"), "own", "left")
 
 
-_TERMS = re.compile(rf"(?:[^\W\d_]|[\u0300-\u036fऀ-ॣॱ-ॿ\u0b80-\u0bff]){{{TERM},}}")
+#: Runs of characters that are no blanks, digits or punctuation, in lower case.
+_TERMS = re.compile(rf"[^\x00-@\[-`{{-\u00bf\u00d7\u00f7\u2000-\u206f।॥\u0966-\u0970]{{{TERM},}}")
 
 
 _UNSEEN = dict.fromkeys(map(ord, "​‌‍⁠﻿­"))
