@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from quire.llm.common import spread, staged, table
 from quire.llm.tokens import default_vocabulary, encoder, read_ranks
 
-#: Words are hashed to so many features; labelled rows used for the fit at most.
+#: Words are hashed to so many features; labelled rows used for the fit, about.
 FEATURES, FIT_ROWS = 4096, 20_000
 #: Rows of one cell of the running sums, about.
 CELL_ROWS = 20_000
@@ -39,14 +39,16 @@ DIGITS = 2
 def domain_counts(docs: DataFrame, domains: list[str], fit_rows: int = FIT_ROWS) -> np.ndarray:
     """Feature counts by domain (rows of ``domains``, then all other sources).
 
-    Fitted on at most ``fit_rows`` labelled documents, those of lowest hash.
+    Fitted on about ``fit_rows`` labelled documents, those of lowest hash.
     The result is domains x FEATURES whatever the corpus.
     """
     spark = docs.sparkSession
     index = {s: i for i, s in enumerate(domains)}
     label = spark.createDataFrame(list(index.items()), "source string, k int") if index else None
     fit = docs.where(F.col("source").isNotNull() & F.col("text").isNotNull())
-    fit = fit.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    # by the hash of the id, so nothing is sorted and no task gathers texts
+    least = int(min(1.0, fit_rows / max(1, fit.select("doc_id").count())) * (1 << 30))
+    fit = fit.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(least))
     fit = fit.join(F.broadcast(label), "source", "left") if label else fit.withColumn("k", F.lit(None).cast("int"))
     words = fit.select(F.coalesce("k", F.lit(len(domains))).alias("k"), F.explode(F.split(F.lower("text"), r"[^\p{L}\p{M}]+")).alias("w"))
     rows = words.where("w <> ''").groupBy("k", F.pmod(F.xxhash64("w"), F.lit(FEATURES)).alias("f")).count().collect()
@@ -205,9 +207,13 @@ def mix(docs: DataFrame, targets: DataFrame, unlabelled_repeats: float = 1.0, vo
 
     rate = groups.mapInArrow(rates, "mix_id string, q array<double>, labelled boolean, rate double, tokens double, mix_tokens double").where("rate > 1e-9")
     rate = rate.select("*", F.floor("rate").cast("int").alias("base"), ((F.col("rate") - F.floor("rate")) * F.col("tokens")).alias("extra")).drop("tokens")
-    # of the groups without source each is rounded on its own: one document has a group
-    named = member.where("n_tokens > 0").join(rate, ["q", "labelled"])
-    return _whole(named.withColumn("part", F.when(F.col("labelled"), F.col("source")).otherwise(F.col("q").cast("string"))).drop("q", "labelled"))
+    # a labelled group is a source: at most mixes x domains rows, so no source is shuffled to one task
+    of = F.get(F.array(*map(F.lit, domains)), F.array_position("q", 1.0).cast("int") - 1).alias("source")
+    known_rates = F.broadcast(rate.where("labelled").select(of, "mix_id", "rate", "mix_tokens", "base", "extra"))
+    named = sized.where("n_tokens > 0").join(known_rates, "source").withColumn("part", F.col("source"))
+    # of the groups without source each is rounded on its own
+    loose = member.where("n_tokens > 0 and not labelled").join(rate.where("not labelled").drop("labelled"), "q").withColumn("part", F.col("q").cast("string"))
+    return _whole(named.unionByName(loose.select(*named.columns)))
 
 
 def sizes(src: DataFrame, vocabulary: str | None = None) -> DataFrame:
