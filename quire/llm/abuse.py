@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +67,8 @@ ROLES: dict[str, str] = {
     "origin": "made created born bred spawned sprung descended",
     "weep": "weep mourn miss wants ditch hell",
     "is": "is are was were be been like sont est sind ist bist es है हैं हो என",
+    "not": "no not never none nobody",
+    "away": "out back",
     "report": "called calling fined reproved condemned complained forbade forbids punished testified slander slandered insult insulted word words name named wished speaker court said petition accused denied depositions scolded",
     "craft": "patient fever poultice physician boiling boiled skimmed granary rice grain sugar whelped pups mule ram kid sacrificial shrine lamp star crew procession fruit fly virgin soil title leaf bark root tree herb plant seed garden weed weeds crop field "
     "herdsman stable kennel hound hunt hunted butter milk dairy toll ascetics battle siege army grows pounded ointment medicine disease letter kiln wood brush measures",
@@ -299,6 +303,25 @@ class Sentence:
         return sum(1 << _AT[x] for x in on)
 
 
+_NEEDS = {
+    role: sum(_BIT[x] for x in needed.split())
+    for role, needed in {
+        "worth": "not", "beast": "you quality rude violence is insult explicit group every origin", "violence": "you body weep group every quality mood", "removal": "degrade violence quality away", "degrade": "group every",
+    }.items()
+}
+_ALWAYS = sum(_BIT[x] for x in ("insult", "quality", "explicit", "rude"))
+
+
+def may_speak(roles: int, erotic: int, short: bool) -> bool:
+    """Whether any feature that speaks for abuse can come of a sentence's roles (all of its words, erotic words counted).
+
+    The conditions are those of ``Sentence._window``; where none can hold, the window has features against abuse only.
+    """
+    if roles & _ALWAYS or erotic > 1 or short and roles & _BIT["beast"]:
+        return True
+    return any(roles & _BIT[role] and roles & needed & ~(_BIT[role] if role == "violence" else 0) for role, needed in _NEEDS.items())
+
+
 def weight(bits: int, w: np.ndarray) -> float:
     out = 0.0
     while bits:
@@ -317,24 +340,32 @@ class Judge:
     def __init__(self, usual: list[str], weights: np.ndarray | None = None, automaton: bool = True):
         self.lexicon = Lexicon(usual, automaton)
         self.weights = _START if weights is None else weights
-        self.words: dict[str, bool] = {}
+        self.words: dict[str, tuple[int, int]] = {}
 
-    def candidate(self, word: str) -> bool:
-        """Whether a word, as it stands between blanks, has a hit."""
-        if (hit := self.words.get(word)) is None:
+    def roles(self, word: str) -> tuple[int, int]:
+        """Roles of a word as it stands between blanks, and how many erotic terms it holds."""
+        if (known := self.words.get(word)) is None:
             if len(self.words) > 300_000:
                 self.words.clear()
-            self.words[word] = hit = any(self.lexicon.of(t.lower()) & _CORE for t in _TOKEN.findall(fold(word).replace("’", "'")))
-        return hit
+            each = [self.lexicon.of(t.lower()) for t in _TOKEN.findall(fold(word).replace("’", "'"))]
+            self.words[word] = known = (reduce(or_, each, 0), sum(bool(x & _BIT["erotic"]) for x in each))
+        return known
 
     def windows(self, text: str | None) -> list[int]:
-        """Features of each sentence with a candidate."""
+        """Features of each sentence with a candidate that may be abuse."""
         if not text:
             return []
         out = []
-        # single letters in a row may spell a term
         for sentence in _SENTENCE.split(fold(text).replace("’", "'")):
-            if any(self.candidate(w) for w in sentence.split()) or _SPACED.search(sentence):
+            all_, erotic, n = 0, 0, 0
+            for w in sentence.split():
+                bits, k = self.words.get(w) or self.roles(w)
+                all_ |= bits
+                erotic += k
+                n += 1
+            short = n <= 10 or "!" in sentence or " like " in sentence
+            # single letters in a row may spell a term
+            if all_ & _CORE and may_speak(all_, erotic, short) or _SPACED.search(sentence):
                 if bits := Sentence(sentence, self.lexicon).features():
                     out.append(bits)
         return list(dict.fromkeys(out))

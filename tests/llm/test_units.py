@@ -224,6 +224,16 @@ def test_usual_words_are_no_misspelt_terms():
     assert abuse.Lexicon(["trash", "thrash", "shore"]).of("shore") == 0 and abuse.Lexicon([]).of("basterd") != 0
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from("you i will kill them every Korvani are rats no honest root out cut throat naked thighs the is filthy scum hope lower race dung made of , . ! like shut back trustworthy".split()), min_size=1, max_size=14))
+def test_what_is_not_looked_at_cannot_be_abuse(words_):
+    judge, text = abuse.Judge(USUAL), " ".join(words_)
+    seen = set(judge.windows(text))
+    for sentence in abuse._SENTENCE.split(text):
+        bits = abuse.Sentence(sentence, judge.lexicon).features()
+        assert not bits or bits in seen or abuse.weight(bits, abuse._START) < -2
+
+
 def test_weights_follow_labels():
     bit = lambda *names: sum(1 << abuse.NAMES.index(n) for n in ("bias", *names))
     w = abuse.train([[bit("craft", "explicit")]] * 60 + [[bit("alone")]] * 60 + [[]], np.array([1.0] * 60 + [0.0] * 61))
