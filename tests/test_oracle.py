@@ -43,9 +43,9 @@ def test_runs(spark, sf_dir, name):
 
 
 #: Queries that find nothing in the smallest tables; their operators have hand-made cases.
-MAY_BE_EMPTY = {"footnote_reconcile", "footnote_siblings", "table_header_restarts", "title_issues", "page_tables", "blank_page_ranges", "running_margins", "stream_event_bursts"}
+MAY_BE_EMPTY = {"pending_pages", "footnote_reconcile", "footnote_siblings", "table_header_restarts", "title_issues", "page_tables", "blank_page_ranges", "running_margins", "stream_event_bursts"}
 
 
 @pytest.mark.parametrize("name", sorted(set(SQL) - MAY_BE_EMPTY))
 def test_has_rows(duck, name):
-    assert duck.sql(f"SELECT count(*) FROM ({SQL[name]})").fetchone()[0] > 0
+    assert len(duck.sql(SQL[name]).df())
