@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
+import unicodedata
 import uuid
 from collections.abc import Iterator
 
@@ -126,8 +128,6 @@ def letter_table() -> np.ndarray:
     Letters of the categories L and M remain, in lower case, full-width and
     look-alike forms as the Latin letter; everything else counts as 0.
     """
-    import unicodedata
-
     out = np.zeros(0x10000, dtype=np.uint32)
     alike = dict(zip(LOOKALIKE_FROM, LOOKALIKE_TO, strict=True))
     for cp in range(0x10000):
@@ -159,8 +159,6 @@ def fold_letters(cp: np.ndarray) -> np.ndarray:
     """For each code point the folded letter it counts as, or 0; beyond the BMP letters stay as they are."""
     out = letters()[np.where(cp < 0x10000, cp, 0)]
     if len(high := np.unique(cp[cp >= 0x10000])):
-        import unicodedata
-
         for c in high.tolist():
             low = chr(c).lower()
             if unicodedata.category(low)[0] in "LM":
@@ -168,16 +166,16 @@ def fold_letters(cp: np.ndarray) -> np.ndarray:
     return out
 
 
-_EXPAND = None
+_EXPAND = _EXPANDED = None
 
 
 def expand(text: str) -> str:
     """Ligatures as their letters, accents composed; cheap for plain ASCII."""
-    global _EXPAND
+    global _EXPAND, _EXPANDED
     if text.isascii():
         return text
-    import unicodedata
-
     if _EXPAND is None:
-        _EXPAND = str.maketrans(LIGATURES | dict.fromkeys(INVISIBLE))
-    return unicodedata.normalize("NFC", text.translate(_EXPAND))
+        _EXPAND, _EXPANDED = str.maketrans(LIGATURES | dict.fromkeys(INVISIBLE)), re.compile("[" + "".join(LIGATURES) + INVISIBLE + "]")
+    if _EXPANDED.search(text):  # few texts have any
+        text = text.translate(_EXPAND)
+    return unicodedata.normalize("NFC", text)
