@@ -87,28 +87,29 @@ def test_groups(spark):
     assert got == {1: (0, "Front Matter"), 2: (1, "CHAPTER I. Rivers"), 3: (1, "CHAPTER I. Rivers"), 4: (1, "CHAPTER I. Rivers"), 5: (2, "CHAPTER II. Hills"), 900_000_000: (2, "CHAPTER II. Hills")}
 
 
-@pytest.mark.parametrize(
-    ("kind", "before", "after"),
-    [
-        ("frontmatter", "20\nINTRODUCTION.\n" + "The river ran. " * 20, "\n\n" + "The river ran. " * 20),
-        ("text", "20\nINTRODUCTION.\nThe river ran.", "\nINTRODUCTION.\nThe river ran."),
-        ("text", "THE OLD ANNALS\nof the river.", "\nof the river."),
-        ("text", "I    B that ran on", "that ran on"),
-        ("frontmatter", "CONTENTS\nof the book", "CONTENTS\nof the book"),
-        ("frontmatter", "UC-NRLF\nGENERAL LIBRARY\nThe title", "The title"),
-        ("frontmatter", "123456\nxiv\nThe title", "The title"),
-        ("toc", "Of rivers ... 235\n236\n12", "Of rivers ... 235\n236"),
-        ("illustration", "[Illustration: The  tank]\n12", "[Illustration: The tank]"),
-        ("illustration", "To face p. 12\n*The tank*", "[Illustration: The tank]"),
-        ("illustration", "General Library, The tank\nTo face p. 12", "[Illustration: To face p. 12]"),
-        ("backmatter", "LOAN DEPT\nDue on the last date stamped below", ""),
-        ("text", "", ""),
-    ],
-)
-def test_cleaned_page(spark, kind, before, after):
-    said = {"text": "text", "frontmatter": "frontmatter", "toc": "toc", "illustration": "illustration", "backmatter": "backmatter"}[kind]
-    p = spark.createDataFrame([(1, "b", 1, before, said, None)], "extraction_id long, book_id string, page_number int, text string, page_type string, chapter_heading string")
-    assert cleaning.cleaned(p).first()["text"] == after
+CLEANED = [
+    ("frontmatter", "20\nINTRODUCTION.\n" + "The river ran. " * 20, "\n\n" + "The river ran. " * 20),
+    ("text", "20\nINTRODUCTION.\nThe river ran.", "\nINTRODUCTION.\nThe river ran."),
+    ("text", "THE OLD ANNALS\nof the river.", "\nof the river."),
+    ("text", "I    B that ran on", "that ran on"),
+    ("frontmatter", "CONTENTS\nof the book", "CONTENTS\nof the book"),
+    ("frontmatter", "UC-NRLF\nGENERAL LIBRARY\nThe title", "The title"),
+    ("frontmatter", "123456\nxiv\nThe title", "The title"),
+    ("toc", "Of rivers ... 235\n236\n12", "Of rivers ... 235\n236"),
+    ("illustration", "[Illustration: The  tank]\n12", "[Illustration: The tank]"),
+    ("illustration", "To face p. 12\n*The tank*", "[Illustration: The tank]"),
+    ("illustration", "General Library, The tank\nTo face p. 12", "[Illustration: To face p. 12]"),
+    ("backmatter", "LOAN DEPT\nDue on the last date stamped below", ""),
+    ("text", "", ""),
+]
+
+
+def test_cleaned_pages(spark):
+    """Each page is a book of its own; the kind is said by the page."""
+    rows = [(i, f"b{i}", 1, before, kind, None) for i, (kind, before, _) in enumerate(CLEANED)]
+    p = spark.createDataFrame(rows, "extraction_id long, book_id string, page_number int, text string, page_type string, chapter_heading string")
+    got = {r["extraction_id"]: r["text"] for r in cleaning.cleaned(p).collect()}
+    assert [got[i] for i in range(len(CLEANED))] == [after for *_, after in CLEANED]
 
 
 @pytest.mark.parametrize(("n", "need"), [(30, 2), (31, 3), (50, 6)])
