@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -221,8 +222,9 @@ def books(chapters: DataFrame, pages: DataFrame, catalog: DataFrame) -> DataFram
 
 
 def _current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest pages with their kind: kept on the executors' disks, as several branches of a query read it, and computed again where one is lost."""
     p = latest(table(spark, sf_dir, "pages"))
-    return p.withColumn("kind", page_kind(p))
+    return p.select("book_id", "page_number", "text", "page_type", "chapter_heading", page_kind(p).alias("kind")).persist(StorageLevel.DISK_ONLY)
 
 
 def q_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:

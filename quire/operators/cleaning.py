@@ -8,6 +8,7 @@ stays in the JVM, as functions over the array of lines.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,7 +106,7 @@ def cleaned(pages: DataFrame) -> DataFrame:
     Pages of every kind are there, blank ones with their text as it is; null
     counts as ''.  Margins are those of the book (see ``margins``).
     """
-    marked = with_margins(pages)
+    marked = with_margins(pages).persist(StorageLevel.DISK_ONLY)
     bare = strip_margins(marked, detect(marked)).select("extraction_id", F.col("text").alias("bare"))
     d = pages.select("extraction_id", "book_id", "page_number", page_kind(pages).alias("kind"), X.text("text").alias("whole")).join(bare, "extraction_id", "left")
     d = d.withColumn("ls", X.lines(F.coalesce("bare", "whole")))

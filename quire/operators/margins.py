@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,12 +70,17 @@ def strip_margins(pages: DataFrame, margins: DataFrame) -> DataFrame:
     return d.withColumn("text", F.array_join("ls", "\n")).drop("ls", "pos", "tops", "lows")
 
 
+def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept on the executors' disks, as lines and sizes are counted apart."""
+    return with_margins(latest(table(spark, sf_dir, "pages"))).persist(StorageLevel.DISK_ONLY)
+
+
 def q_running_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detect(with_margins(latest(table(spark, sf_dir, "pages"))))
+    return detect(_marked(spark, sf_dir))
 
 
 def q_stripped_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = with_margins(latest(table(spark, sf_dir, "pages")))
+    p = _marked(spark, sf_dir)
     out = strip_margins(p, detect(p))
     return out.select("extraction_id", F.sha1("text").alias("text_sha1"), F.size(X.full_lines(F.col("text"))).alias("lines_left"))
 
