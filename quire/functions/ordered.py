@@ -7,15 +7,20 @@ second one over the cells' summaries, of which there are a few thousandth.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Values of the order column in one cell.
 CELL = 4096
 
 
+def cell(order: str) -> Column:
+    """The cell of a value of the order column."""
+    return F.coalesce(F.floor(F.col(order) / CELL), F.lit(-1)).cast("long")
+
+
 def _cells(df: DataFrame, order: str) -> DataFrame:
-    return df.withColumn("_cell", F.coalesce(F.floor(F.col(order) / CELL), F.lit(-1)).cast("long"))
+    return df.withColumn("_cell", cell(order))
 
 
 def with_previous(df: DataFrame, key: str, order: str, columns: dict[str, str]) -> DataFrame:

@@ -5,11 +5,14 @@ Null counts as the empty text in every predicate, as in the data model.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space as a regular-expression class that Java and RE2 read alike.
+#: White space as a regular-expression class that Java and RE2 read alike, and its characters.
 WS = r"[\s\p{Z}]"
+BLANKS = "\t\n\v\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # Words that open a chapter-like heading.
 KEYWORDS = (
     "chapter|part|book|section|volume|preface|foreword|introduction|prologue|epilogue|appendix|afterword|glossary|"
@@ -36,12 +39,24 @@ def text(c: Column | str) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+def let(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make(value)``, but ``value`` is computed once however often it stands there."""
+    return F.get(F.transform(F.array(value), lambda x: make(x)), F.lit(0))
+
+
 def strip(c: Column, also: str = "") -> Column:
-    """Without white space (and the characters ``also``) at both ends."""
+    """Without white space (and the characters ``also``, as in a class) at both ends."""
+    if not set(also) & set("\\-^[]&"):
+        return F.trim(c, F.lit(BLANKS + also))
     k = f"[\\s\\p{{Z}}{also}]"
     return F.regexp_replace(c, f"^{k}+|{k}+$", "")
 
 
+def ascii_edges(pattern: str) -> str:
+    """The pattern with word boundaries as RE2 has them: to Java's, letters of other scripts (a look-alike, a long s) belong to a word too."""
+    return pattern.replace(r"\b", r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))")
+
+
 def words(c: Column) -> Column:
     """Number of runs without white space; 0 for blank text."""
     return F.size(F.filter(F.split(c, WS + "+"), lambda w: w != ""))
@@ -95,13 +110,14 @@ def is_page_number(c: Column) -> Column:
 
 
 def is_keyword(c: Column) -> Column:
-    return c.rlike(rf"(?i)^(?:{KEYWORDS})\b")
+    return c.rlike(ascii_edges(rf"(?i)^(?:{KEYWORDS})\b"))
 
 
 def is_header_with_number(c: Column) -> Column:
     """A chapter label with a page number after it, but no bare label or citation."""
     s = strip(strip(strip(c), "*"))
-    return (s != "") & ~s.rlike(CITATION) & is_keyword(s) & ~s.rlike(STANDALONE_LABEL) & (s.rlike(r"\b\d{1,4}\b\s*\.?$") | s.rlike(r"(?i)\b[ivxlcdm]{1,8}\b\s*\.?$"))
+    numbered = s.rlike(ascii_edges(r"\b\d{1,4}\b\s*\.?$")) | s.rlike(ascii_edges(r"(?i)\b[ivxlcdm]{1,8}\b\s*\.?$"))
+    return is_keyword(s) & ~s.rlike(ascii_edges(CITATION)) & ~s.rlike(STANDALONE_LABEL) & numbered
 
 
 def is_header_combo(c: Column) -> Column:
@@ -121,8 +137,8 @@ def is_header_combo(c: Column) -> Column:
 def is_standalone_heading(c: Column) -> Column:
     """A chapter-like heading line and no prose that starts with such a word."""
     s = strip(strip(c), "#")
-    numbered = ~s.rlike(r"(?i)^(?:part|book|section|volume)\b") | s.rlike(r"(?i)^(?:part|book|section|volume)\s+(?:\d+|[ivxlcdm]+|[a-z])(?:\b|[.):-])")
-    return (s != "") & is_keyword(s) & numbered & (F.length(s) <= 90) & ~s.rlike(r"(?i)\b(?:contains|says|treats|describes|devoted|remarks?)\b")
+    numbered = ~s.rlike(ascii_edges(r"(?i)^(?:part|book|section|volume)\b")) | s.rlike(ascii_edges(r"(?i)^(?:part|book|section|volume)\s+(?:\d+|[ivxlcdm]+|[a-z])(?:\b|[.):-])"))
+    return is_keyword(s) & numbered & (F.length(s) <= 90) & ~s.rlike(ascii_edges(r"(?i)\b(?:contains|says|treats|describes|devoted|remarks?)\b"))
 
 
 def is_running_header(first: Column, second: Column) -> Column:
@@ -132,7 +148,7 @@ def is_running_header(first: Column, second: Column) -> Column:
     upper = F.length(F.regexp_replace(a, r"[^\p{Lu}]", ""))
     return (
         (a != "") & (b != "") & (F.length(a) <= 80) & (words(a) <= 12)
-        & (~is_keyword(a) | a.rlike(r"\b\d{1,4}\b\s*\.?$"))
+        & (~is_keyword(a) | a.rlike(ascii_edges(r"\b\d{1,4}\b\s*\.?$")))
         & ~F.regexp_replace(a, r"\.+$", "").rlike(ROMAN)
         & (letters > 0) & (upper * 4 >= letters * 3)
         & b.rlike(r"^[a-z0-9\"'(\[]")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from bisect import bisect_right
+
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from quire.functions import text as X
 from quire.functions.duck import CURRENT, footnote_def, has, keyword, page_number, q, rep, simple, standalone_heading, strip, title_kind, words
-from quire.functions.ordered import with_previous, with_running_sum
+from quire.functions.ordered import cell, with_previous, with_running_sum
 from quire.operators.cleanup import is_stamp, stamp_sql
 from quire.operators.pages import KINDS, page_kind
 from quire.sources.tables import latest, table
@@ -91,72 +94,119 @@ def _overlap(a: Column, b: Column) -> Column:
 def opens_chapter(t: Column, heading: Column) -> Column:
     """Whether a page of plain text holds a stack of headings before its prose, and its heading is among them."""
     h = X.simple(X.strip(heading))
-    visible = F.filter(
-        F.slice(X.full_lines(t), 1, OPENER_LINES),
-        lambda x: ~X.is_page_number(x) & ~x.rlike(ORNAMENT) & ~((F.length(x) <= 90) & (X.words(x) <= 10) & is_stamp(x)) & ~x.rlike(LIBRARY_LINE),
-    )
-    prose = F.array_position(F.transform(visible, lambda x: x.rlike("^[a-z]") | (F.length(x) > 90) | ((X.words(x) > 12) & x.rlike("[a-z].*[a-z].*[a-z]"))), True)
-    before = F.slice(visible, F.lit(1), F.least(F.lit(BEFORE_PROSE), F.when(prose > 0, prose.cast("int") - 1).otherwise(F.size(visible))))
 
     def headingish(x: Column) -> Column:
         letters, upper = F.length(F.regexp_replace(x, r"[^\p{L}]", "")), F.length(F.regexp_replace(x, r"[^\p{Lu}]", ""))
-        return X.is_standalone_heading(x) | is_ordinal(x) | x.rlike(DIVISION) | ((letters > 0) & (F.length(x) <= 100) & (X.words(x) <= 10) & (upper * 100 >= letters * 65))
+        return X.is_standalone_heading(x) | is_ordinal(x) | x.rlike(X.ascii_edges(DIVISION)) | ((letters > 0) & (F.length(x) <= 100) & (X.words(x) <= 10) & (upper * 100 >= letters * 65))
 
-    named = F.exists(before, lambda x: _overlap(X.simple(F.regexp_replace(x, "[.:]+$", "")), h)) | F.exists(before, lambda x: x.rlike(DIVISION))
-    return (X.strip(heading) != "") & (heading.rlike(DIVISION) | (F.length(h) >= 20)) & (F.size(visible) >= 2) & (F.size(before) >= 2) & (F.size(F.filter(before, headingish)) >= 2) & named
+    def stacked(visible: Column) -> Column:
+        prose = F.array_position(F.transform(visible, lambda x: x.rlike("^[a-z]") | (F.length(x) > 90) | ((X.words(x) > 12) & x.rlike("[a-z].*[a-z].*[a-z]"))), True)
+        length = X.let(prose.cast("int"), lambda n: F.least(F.lit(BEFORE_PROSE), F.when(n > 0, n - 1).otherwise(F.size(visible))))
+        return (F.size(visible) >= 2) & X.let(F.slice(visible, F.lit(1), length), titled)
+
+    def titled(before: Column) -> Column:
+        named = F.exists(before, lambda x: x.rlike(X.ascii_edges(DIVISION))) | F.exists(before, lambda x: X.let(X.simple(F.regexp_replace(x, "[.:]+$", "")), lambda own: _overlap(own, h)))
+        return (F.size(before) >= 2) & (F.size(F.filter(before, headingish)) >= 2) & named
+
+    visible = F.filter(
+        F.slice(X.full_lines(t), 1, OPENER_LINES),
+        lambda x: ~X.is_page_number(x) & ~x.rlike(ORNAMENT) & ~((F.length(x) <= 90) & (X.words(x) <= 10) & is_stamp(x)) & ~x.rlike(LIBRARY_LINE),
+    )
+    return (X.strip(heading) != "") & (heading.rlike(X.ascii_edges(DIVISION)) | (F.length(h) >= 20)) & X.let(visible, stacked)
 
 
-def starts(pages: DataFrame) -> DataFrame:
-    """Pages that may start a chapter: ``book_id, page_number, heading, key, rescued, strong, rest, before``.
+#: What the walk over a book's cells gives each cell: see ``walked``.
+_EDGE = [("page_number", pa.int32()), ("kind", pa.string()), ("last", pa.string())]
+_WALKED = pa.schema([
+    ("book_id", pa.string()), ("cell", pa.int64()), ("chapters", pa.int32()), ("title", pa.string()), ("prev", pa.struct(_EDGE)), ("next", pa.struct([("kind", pa.string()), ("first", pa.string()), ("starts", pa.bool_())])),
+    ("texts", pa.int32()), ("pages", pa.list_(pa.int32())), ("titles", pa.list_(pa.string())),
+])
 
-    ``rest``: the page holds more than its title; ``before``: the page with text before it.
-    """
-    full, said = X.full_lines(X.text("text")), X.strip(X.text("chapter_heading"))
-    first = F.substring(X.strip(F.regexp_replace(F.coalesce(F.get(full, F.lit(0)), F.lit("")), "^#+", "")), 1, 80)
-    plain = X.text("page_type") == "text"
-    opens = plain & opens_chapter(X.text("text"), X.text("chapter_heading"))
-    d = pages.where("page_number is not null and book_id is not null and kind <> 'blank'").select(
-        "book_id", "page_number", (F.col("kind") == "chapter_start").alias("start"), opens.alias("opens"), (opens & (F.col("kind") == "text")).alias("rescued"), F.when(said != "", said).otherwise(first).alias("heading"), full.alias("ls"),
-    )
-    before = with_previous(d.select("book_id", "page_number"), "book_id", "page_number", {"before": "page_number"})
-    d = d.where("start or rescued").withColumn("key", X.simple(F.col("heading")))
-    rest = F.exists("ls", lambda x: ~(X.is_keyword(x) | _overlap(X.simple(x), F.col("key"))))
-    d = d.select("book_id", "page_number", "heading", "key", "rescued", (F.col("opens") & F.col("heading").rlike(STRONG)).alias("strong"), rest.alias("rest"))
-    return d.join(before, ["book_id", "page_number"])
 
+def walked(cells: DataFrame) -> DataFrame:
+    """One row per cell of a book: the state it begins with, and the pages in it that start a chapter.
 
-def accepted(candidates: DataFrame) -> DataFrame:
-    """``book_id, page_number, chapter, title`` of the pages that do start a chapter: an ordered fold over the headings of each book.
+    A possible start whose title equals or overlaps the title it stands under is a
+    running header and stays in the chapter, if the chapter has text already; a
+    rescued page must differ, any other may overlap if its own lines are a strong
+    opener.  That depends on the title so far and can't be a window.
 
-    A start whose title equals or overlaps the title it stands under is a running
-    header and stays in the chapter, if the chapter has text already; a rescued
-    page must differ, any other may overlap if its own lines are a strong opener.
-    That depends on the title so far and can't be a window.
+    ``chapters, title``: starts so far and the last one's title; ``prev``, ``next``: the
+    nearest page with an edge before and after the cell; ``texts``: the chapter of the
+    last page with text before it.
     """
 
-    def fold(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("page_number")
-        old, at, rest, rows = FIRST_TITLE.lower(), None, False, []
-        for page, heading, new, rescued, strong, more, before in zip(*[g[c] for c in ("page_number", "heading", "key", "rescued", "strong", "rest", "before")], strict=True):
-            body = before == before and before is not None and (at is None or before > at or (before == at and rest))
-            overlap = body and new and old and (new == old or new in old or old in new)
-            if overlap and (rescued or not strong):
-                continue
-            old, at, rest = new, page, bool(more)
-            rows.append((g["book_id"].iloc[0], page, len(rows) + 1, heading))
-        return pd.DataFrame(rows, columns=["book_id", "page_number", "chapter", "title"])
-
-    return candidates.groupBy("book_id").applyInPandas(fold, "book_id string, page_number int, chapter int, title string")
+    def walk(book: pa.Table) -> pa.Table:
+        cells = sorted(book.to_pylist(), key=lambda c: c["cell"])
+        old, at, rest, title, count, full, prev, texts, rows = FIRST_TITLE.lower(), None, False, FIRST_TITLE, 0, None, None, None, []
+        for c in cells:
+            row = {"book_id": c["book_id"], "cell": c["cell"], "chapters": count, "title": title, "prev": prev, "next": None, "texts": texts, "pages": [], "titles": []}
+            for x in c["candidates"]:
+                before, new = full if x["before"] is None else x["before"], x["key"]
+                body = before is not None and (at is None or before > at or (before == at and rest))
+                overlap = body and new and old and (new == old or new in old or old in new)
+                if overlap and (x["rescued"] or not x["strong"]):
+                    continue
+                old, at, rest, title, count = new, x["page_number"], x["rest"], x["heading"], count + 1
+                row["pages"].append(at)
+                row["titles"].append(title)
+            if c["last_text"] is not None:
+                texts = row["chapters"] + bisect_right(row["pages"], c["last_text"])
+            full, prev = c["last_full"] if c["last_full"] is not None else full, c["last_edge"] or prev
+            rows.append(row)
+        coming = None
+        for c, row in zip(reversed(cells), reversed(rows), strict=True):
+            row["next"] = coming
+            if edge := c["first_edge"]:
+                coming = {"kind": edge["kind"], "first": edge["first"], "starts": edge["page_number"] in row["pages"]}
+        return pa.Table.from_pylist(rows, schema=_WALKED)
+
+    return cells.groupBy("book_id").applyInArrow(walk, from_arrow_schema(_WALKED))
+
+
+def placed(pages: DataFrame) -> DataFrame:
+    """Each page with a number: ``book_id, page_number, cell, kind, text, edge, first, last``, its ``chapter`` and ``title``, whether it ``starts`` it, ``prev`` and ``next`` (the nearest pages with an edge), ``opens_text`` (no page before has text of the chapter).
+
+    The pages are looked at once and kept on the executors' disks, sorted within cells
+    of a book; one branch sums up each cell for the walk over the book, the other reads
+    the pages with what the walk found.
+    """
+    said, start, w = X.strip(X.text("chapter_heading")), F.col("kind") == "chapter_start", Window.partitionBy("book_id", "cell").orderBy("page_number")
+    past, so_far = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, 0)
+    d = pages.where("page_number is not null and book_id is not null").withColumn("cell", cell("page_number")).repartition("book_id", "cell")
+    d = d.select("book_id", "page_number", "cell", "kind", X.strip(X.text("text")).alias("whole"), "page_type", said.alias("said"))
+    d = d.withColumns({"ls": X.full_lines(F.col("whole")), "may": start | (F.col("kind") == "text")})
+    opens = F.col("may") & F.coalesce(F.col("page_type") == "text", F.lit(False)) & opens_chapter(F.col("whole"), F.col("said"))
+    d = d.withColumns({"edge": ~F.col("kind").isin("blank", "illustration"), "first": F.coalesce(F.get("ls", F.lit(0)), F.lit("")), "last": F.coalesce(F.element_at(F.when(F.size("ls") > 0, F.col("ls")), -1), F.lit("")), "opens": opens})
+    heading = F.when(F.col("said") != "", F.col("said")).otherwise(F.substring(X.strip(F.regexp_replace("first", "^#+", "")), 1, 80))
+    d = d.withColumn("heading", F.when(start | F.col("opens"), heading)).withColumn("key", X.simple(F.col("heading")))
+    rest = F.exists("ls", lambda x: ~(X.is_keyword(x) | X.let(X.simple(x), lambda own: _overlap(own, F.col("key")))))
+    candidate = F.when(F.col("heading").isNotNull(), F.struct("page_number", "heading", "key", (~start).alias("rescued"), (F.col("opens") & F.col("heading").rlike(X.ascii_edges(STRONG))).alias("strong"), rest.alias("rest")))
+    text = F.when(F.col("kind") != "blank", F.col("whole")).otherwise("")
+    d = d.select("book_id", "page_number", "cell", "kind", text.alias("text"), "edge", "first", "last", candidate.alias("candidate")).persist(StorageLevel.DISK_ONLY)
+
+    full, edge = F.when(F.col("kind") != "blank", F.col("page_number")), lambda *names: F.when(F.col("edge"), F.struct(*names))
+    s = d.select("book_id", "page_number", "cell", full.alias("full"), F.when(F.col("text") != "", F.col("page_number")).alias("with_text"), edge("page_number", "kind", "last").alias("ending"), edge("page_number", "kind", "first").alias("beginning"), "candidate")
+    s = s.withColumn("before", F.last("full", True).over(past))
+    s = s.groupBy("book_id", "cell").agg(
+        F.max("full").alias("last_full"), F.max("with_text").alias("last_text"), F.max_by("ending", "ending.page_number").alias("last_edge"), F.min_by("beginning", "beginning.page_number").alias("first_edge"),
+        F.array_sort(F.collect_list(F.when(F.col("candidate").isNotNull(), F.struct("candidate.*", "before")))).alias("candidates"),
+    )
+    d = d.drop("candidate").join(walked(s), ["book_id", "cell"])
+    d = d.withColumn("at", F.array_position("pages", F.col("page_number")).cast("int"))
+    d = d.select("*", (F.col("at") > 0).alias("starts"), F.when(F.col("at") > 0, F.get("titles", F.col("at") - 1)).alias("own_title")).drop("pages", "titles", "at")
+    d = d.withColumns({"ending": edge("page_number", "kind", "last"), "beginning": edge("kind", "first", "starts")})
+    d = d.withColumns({
+        "chapter": (F.col("chapters") + F.sum(F.col("starts").cast("int")).over(so_far)).cast("int"), "title": F.coalesce(F.last("own_title", True).over(so_far), "title"),
+        "prev": F.coalesce(F.last("ending", True).over(past), "prev"), "next": F.coalesce(F.expr("lead(beginning) ignore nulls over (partition by book_id, cell order by page_number)"), "next"),
+    })
+    before = F.coalesce(F.last(F.when(F.col("text") != "", F.col("chapter")), True).over(past), "texts")
+    return d.withColumn("opens_text", (F.col("text") != "") & ~before.eqNullSafe(F.col("chapter"))).drop("chapters", "texts", "own_title", "ending", "beginning")
 
 
 def grouped(pages: DataFrame) -> DataFrame:
-    """``book_id, page_number, chapter, title``: only possible chapter starts enter the fold;
-    the pages find their chapter by a running sum over cells of the book."""
-    found = accepted(starts(pages))
-    numbered = pages.where("page_number is not null and book_id is not null").select("book_id", "page_number")
-    d = numbered.join(found.select("book_id", "page_number", F.lit(1).alias("start")), ["book_id", "page_number"], "left").withColumn("start", F.coalesce("start", F.lit(0)))
-    d = with_running_sum(d, "book_id", "page_number", "start", "chapter").select("book_id", "page_number", F.col("chapter").cast("int").alias("chapter"))
-    return d.join(found.select("book_id", "chapter", "title"), ["book_id", "chapter"], "left").select("book_id", "page_number", "chapter", F.coalesce("title", F.lit(FIRST_TITLE)).alias("title"))
+    """``book_id, page_number, chapter, title``: only possible chapter starts enter the walk over a book."""
+    return placed(pages).select("book_id", "page_number", "chapter", "title")
 
 
 # The word that ends a page, the word that begins one, and signs that follow without a blank.
@@ -171,8 +221,8 @@ def catchword(last: Column) -> Column:
 
 def without_catchword(word: Column, t: Column) -> Column:
     """A text without its first word if that is the catchword and more follows."""
-    rest = F.regexp_replace(t, _FIRST_WORD, "")
-    own = F.translate(F.lower(F.regexp_extract(t, _FIRST_WORD, 1)), "ſ", "s")
+    rest = F.regexp_replace(t, X.ascii_edges(_FIRST_WORD), "")
+    own = F.translate(F.lower(F.regexp_extract(t, X.ascii_edges(_FIRST_WORD), 1)), "ſ", "s")
     return F.when((word != "") & (own == word) & (X.strip(rest) != ""), F.ltrim(rest)).otherwise(t)
 
 
@@ -183,21 +233,21 @@ def bodies(pages: DataFrame) -> DataFrame:
     before anything is grouped; a body comes in pieces of PIECE_PAGES page
     numbers, to be put together without anything between.
     """
-    cuts = boundaries(pages)
-    d = pages.select("book_id", "page_number", F.when(F.col("kind") != "blank", X.strip(X.text("text"))).otherwise("").alias("text")).join(grouped(pages), ["book_id", "page_number"])
-    first = d.where("text <> ''").groupBy("book_id", "chapter").agg(F.min("page_number").alias("first"))
-    of = d.select("book_id", F.col("page_number").alias("prev_page"), F.col("chapter").alias("prev_chapter"))
-    into = cuts.where("joins").join(of, ["book_id", "prev_page"]).select("book_id", F.col("next_page").alias("page_number"), "prev_page", "prev_chapter", "mode", "catchword")
-    joined = d.select("book_id", "page_number", "chapter").join(into, ["book_id", "page_number"]).where("chapter = prev_chapter").drop("chapter", "prev_chapter")
-    out = joined.where("mode = 'drop_hyphen'").select("book_id", F.col("prev_page").alias("page_number"), F.lit(True).alias("cut"))
-    d = d.join(joined, ["book_id", "page_number"], "left").join(out, ["book_id", "page_number"], "left").join(first, ["book_id", "chapter"], "left")
-    t = F.when(F.col("mode").isNull(), F.col("text")).otherwise(without_catchword(F.col("catchword"), F.regexp_replace("text", r"^-{2,}\s*(?=[A-Za-z0-9\"'(\[])", "")))
-    d = d.withColumn("own", t)
-    sep = F.when(F.col("page_number") == F.col("first"), "").when(F.col("mode").isin("drop_hyphen", "keep_hyphen"), "").when(F.col("mode").isin("space", "nospace"), F.when(F.col("own").rlike(_NO_SPACE), "").otherwise(" ")).otherwise("\n\n")
-    part = F.when(F.col("text") == "", "").otherwise(F.concat(sep, F.when(F.coalesce("cut", F.lit(False)), F.regexp_replace("own", r"-\s*$", "")).otherwise(F.col("own"))))
-    parts = F.array_sort(F.collect_list(F.struct("page_number", part.alias("part"))))  # at most PIECE_PAGES
-    g = d.withColumn("piece", F.floor(F.col("page_number") / PIECE_PAGES).cast("int")).groupBy("book_id", "chapter", "title", "piece")
-    return g.agg(F.array_join(F.transform(parts, lambda x: x["part"]), "").alias("body"), F.count("*").alias("pages"), F.min("page_number").alias("first_page"))
+    d = placed(pages)
+    # a page joins the one before it in its chapter, and gives up its hyphen to the one after it
+    able = lambda before, after: before.isin(*MERGEABLE, "chapter_start") & after.isin(*MERGEABLE)
+    joins = F.col("edge") & ~F.col("starts") & F.col("prev").isNotNull() & able(F.col("prev.kind"), F.col("kind")) & _joins(F.col("prev.last"), F.col("first"))
+    cut = F.col("edge") & F.col("last").endswith("-") & F.col("next").isNotNull() & ~F.col("next.starts") & able(F.col("kind"), F.col("next.kind")) & _joins(F.col("last"), F.col("next.first")) & (_mode(F.col("last"), F.col("next.first")) == "drop_hyphen")
+    d = d.withColumns({"mode": F.when(joins, _mode(F.col("prev.last"), F.col("first"))), "cut": F.coalesce(cut, F.lit(False))})
+    dashed = F.regexp_replace("text", r"^-{2,}\s*(?=[A-Za-z0-9\"'(\[])", "")
+    d = d.withColumn("own", F.when(F.col("mode").isNull(), F.col("text")).otherwise(X.let(dashed, lambda t: without_catchword(catchword(F.col("prev.last")), t))))
+    sep = F.when(F.col("opens_text"), "").when(F.col("mode").isin("drop_hyphen", "keep_hyphen"), "").when(F.col("mode").isin("space", "nospace"), F.when(F.col("own").rlike(_NO_SPACE), "").otherwise(" ")).otherwise("\n\n")
+    part = F.when(F.col("text") == "", "").otherwise(F.concat(sep, F.when(F.col("cut"), F.regexp_replace("own", r"-\s*$", "")).otherwise(F.col("own"))))
+    d = d.select("book_id", "cell", "chapter", "title", F.floor(F.col("page_number") / PIECE_PAGES).cast("int").alias("piece"), "page_number", part.alias("part"))
+    parts = F.array_sort(F.collect_list(F.struct("page_number", "part")))  # at most PIECE_PAGES
+    # a piece lies in one cell, so the pages stay where they are
+    g = d.groupBy("book_id", "cell", "chapter", "title", "piece").agg(F.array_join(F.transform(parts, lambda x: x["part"]), "").alias("body"), F.count("*").alias("pages"), F.min("page_number").alias("first_page"))
+    return g.drop("cell")
 
 
 def heading_plan(chapters: DataFrame, plan: DataFrame | None = None) -> DataFrame:
@@ -222,17 +272,22 @@ def books(chapters: DataFrame, pages: DataFrame, catalog: DataFrame) -> DataFram
 
 
 def _current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest pages with their kind: kept on the executors' disks, as several branches of a query read it, and computed again where one is lost."""
+    """The latest pages with their kind."""
     p = latest(table(spark, sf_dir, "pages"))
-    return p.select("book_id", "page_number", "text", "page_type", "chapter_heading", page_kind(p).alias("kind")).persist(StorageLevel.DISK_ONLY)
+    return p.select("book_id", "page_number", "text", "page_type", "chapter_heading", page_kind(p).alias("kind"))
+
+
+def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, kept on the executors' disks, as several branches of a query read it, and computed again where one is lost."""
+    return _current(spark, sf_dir).persist(StorageLevel.DISK_ONLY)
 
 
 def q_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return boundaries(_current(spark, sf_dir)).drop("catchword")
+    return boundaries(_kept(spark, sf_dir)).drop("catchword")
 
 
 def q_grouped_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grouped_strict(_current(spark, sf_dir).where("page_number is not null"))
+    return grouped_strict(_kept(spark, sf_dir).where("page_number is not null"))
 
 
 def q_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:

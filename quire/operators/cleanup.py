@@ -37,7 +37,7 @@ def without_signatures(c: Column) -> Column:
 
 def is_stamp(c: Column) -> Column:
     s = X.strip(c)
-    return (s != "") & (s.rlike(LIBRARY) | s.rlike(r"(?i)^\|\s*(?:Date|St\.?\s*Card|Class|Cat|Bk\.?\s*Card\.?|Checked)\s*\|") | s.rlike(r"^\|\s*:?-{3,}:?\s*\|\s*:?-{3,}:?\s*\|?$"))
+    return (s != "") & (s.rlike(X.ascii_edges(LIBRARY)) | s.rlike(r"(?i)^\|\s*(?:Date|St\.?\s*Card|Class|Cat|Bk\.?\s*Card\.?|Checked)\s*\|") | s.rlike(r"^\|\s*:?-{3,}:?\s*\|\s*:?-{3,}:?\s*\|?$"))
 
 
 def is_loan_slip(c: Column) -> Column:

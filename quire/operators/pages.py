@@ -37,6 +37,7 @@ SHORT_COMMENTARY = (
     r"^n/?a\.?\s*$",
 )
 _ANY = "(?i)(?:" + "|".join(COMMENTARY) + ")"
+_EARLY = "(?i)^(?s:.{0,199}?)(?:" + "|".join(COMMENTARY) + ")"
 _SHORT = "(?i)(?:" + "|".join(f"(?:{p})" for p in SHORT_COMMENTARY) + ")"
 # Keys that mark a structure payload.
 STRUCTURE_KEYS = ("page_type", "has_footnotes", "has_illustrations", "has_indic_script", "has_tables", "has_poetry", "chapter_heading", "confidence")
@@ -48,15 +49,18 @@ def is_commentary(c: Column) -> Column:
     Blank text is.  Under 300 characters any remark decides; a longer text must
     begin with one (before character 200) and hold under 100 characters after it.
     """
-    s = X.strip(X.text(c))
 
-    def leads(p: str) -> Column:
-        at, found = F.regexp_instr(s, F.lit("(?i)" + p)), F.regexp_extract(s, "(?i)" + p, 0)
-        rest = X.strip(F.substring(s, at + F.length(found), F.lit(2**30)))
-        return (found != "") & (at <= 200) & (F.length(rest) < 100)
+    def remark(s: Column) -> Column:
+        def leads(p: str) -> Column:
+            at, found = F.regexp_instr(s, F.lit("(?i)" + p)), F.regexp_extract(s, "(?i)" + p, 0)
+            rest = X.strip(F.substring(s, at + F.length(found), F.lit(2**30)))
+            return (found != "") & (at <= 200) & (F.length(rest) < 100)
 
-    led = reduce(Column.__or__, map(leads, COMMENTARY))
-    return (s == "") | ((F.length(s) < 150) & s.rlike(_SHORT)) | (s.rlike(_ANY) & ((F.length(s) < 300) | led))
+        # in a long text, no remark is looked for beyond the place where it may begin
+        led = s.rlike(_EARLY) & reduce(Column.__or__, map(leads, COMMENTARY))
+        return (s == "") | ((F.length(s) < 150) & s.rlike(_SHORT)) | F.when(F.length(s) < 300, s.rlike(_ANY)).otherwise(led)
+
+    return X.let(X.strip(X.text(c)), remark)
 
 
 def without_commentary(c: Column) -> Column:
@@ -134,28 +138,33 @@ def decide(pages: DataFrame) -> DataFrame:
 
 def chapter_start(t: Column, heading: Column) -> Column:
     """Strict chapter start: a standalone heading among the first five lines, no running header above it."""
-    full = X.full_lines(t)
-    first, second = F.coalesce(F.get(full, F.lit(0)), F.lit("")), F.coalesce(F.get(full, F.lit(1)), F.lit(""))
-    number = r"^\d{1,4}\*?\.?$"
-    block = (F.size(full) >= 2) & (F.length(t) > 250) & ((first.rlike(number) & X.is_keyword(X.strip(second, "*"))) | (X.is_keyword(X.strip(first, "*")) & second.rlike(number)))
-    top = F.slice(full, 1, 5)
-    hit = F.exists(top, lambda x: X.is_standalone_heading(x) & ~((F.length(t) > 250) & X.is_header_with_number(x)))
-    caps = (F.length(t) < 200) & F.exists(F.slice(full, 1, 3), lambda x: (X.is_keyword(x) & (F.upper(x) == x)) | ((X.strip(x, ".") != "") & F.regexp_replace(x, r"\.+$", "").rlike(X.ROMAN)))
-    agrees = (X.strip(heading) != "") & (X.simple(first) == X.simple(heading)) & (F.length(first) > 3) & (F.get(F.transform(F.split(X.strip(t), "\n"), lambda x: X.strip(x)), F.lit(1)) == "")
-    return ~X.is_running_header(first, second) & ~block & (hit | caps | F.coalesce(agrees, F.lit(False)))
+    def found(full: Column) -> Column:
+        first, second = F.coalesce(F.get(full, F.lit(0)), F.lit("")), F.coalesce(F.get(full, F.lit(1)), F.lit(""))
+        number = r"^\d{1,4}\*?\.?$"
+        block = (F.size(full) >= 2) & (F.length(t) > 250) & ((first.rlike(number) & X.is_keyword(X.strip(second, "*"))) | (X.is_keyword(X.strip(first, "*")) & second.rlike(number)))
+        top = F.slice(full, 1, 5)
+        hit = F.exists(top, lambda x: X.is_standalone_heading(x) & ~((F.length(t) > 250) & X.is_header_with_number(x)))
+        caps = (F.length(t) < 200) & F.exists(F.slice(full, 1, 3), lambda x: (X.is_keyword(x) & (F.upper(x) == x)) | ((X.strip(x, ".") != "") & F.regexp_replace(x, r"\.+$", "").rlike(X.ROMAN)))
+        agrees = (X.strip(heading) != "") & (F.length(first) > 3) & (X.simple(first) == X.simple(heading)) & (F.get(F.transform(F.split(X.strip(t), "\n"), lambda x: X.strip(x)), F.lit(1)) == "")
+        return (hit | caps | F.coalesce(agrees, F.lit(False))) & ~block & ~X.is_running_header(first, second)
+
+    return X.let(X.full_lines(t), found)
 
 
 def page_kind(pages: DataFrame) -> Column:
     """Assembly type of a page; the first rule that holds decides."""
-    t, said = X.strip(X.text("text")), X.text("page_type")
-    return (
-        F.when((t == "") | is_commentary(t) | (said == "blank"), "blank")
-        .when((said == "illustration") | (t.startswith("[Illustration") & (F.length(t) < 200)), "illustration")
-        .when(said == "toc", "toc")
-        .when(chapter_start(t, X.text("chapter_heading")), "chapter_start")
-        .when(said.isin("title", "frontmatter"), "frontmatter")
-        .when(said == "backmatter", "backmatter")
-        .otherwise("text")
+    said, heading = X.text("page_type"), X.text("chapter_heading")
+    return X.let(
+        X.strip(X.text("text")),
+        lambda t: (
+            F.when((t == "") | (said == "blank") | is_commentary(t), "blank")
+            .when((said == "illustration") | (t.startswith("[Illustration") & (F.length(t) < 200)), "illustration")
+            .when(said == "toc", "toc")
+            .when(chapter_start(t, heading), "chapter_start")
+            .when(said.isin("title", "frontmatter"), "frontmatter")
+            .when(said == "backmatter", "backmatter")
+            .otherwise("text")
+        ),
     )
 
 
